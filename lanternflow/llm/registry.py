@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lanternflow.llm import mixing, token_files
+from lanternflow.llm import mixing, token_files, topk_search, warc
 
-MODULES = (mixing, token_files)
+MODULES = (mixing, topk_search, warc, token_files)
 
 
 def queries() -> dict:
