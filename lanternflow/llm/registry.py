@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lanternflow.llm import mixing, token_files, topk_search, warc
+from lanternflow.llm import mixing, simhash_dedup, token_files, topk_search, warc
 
-MODULES = (mixing, topk_search, warc, token_files)
+MODULES = (mixing, simhash_dedup, topk_search, warc, token_files)
 
 
 def queries() -> dict:
