@@ -24,9 +24,12 @@ word by word; an empty table gives an empty result; extra columns are dropped.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -124,30 +127,73 @@ class TokenFile:
         self.file.close()
 
 
-def _tokens(tokenizer_path: str, end_id: int, width: int):
-    """Arrow batches of (doc_id, text) to (doc_id, order, n, ids as bytes)."""
+#: Letters whose lower case is one letter again, then ASCII signs without the apostrophe: one or two units of the
+#: pre-tokenizer, which the model takes without the normaliser.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+KNOWN = 600_000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+class WordIds:
+    """The ids, as bytes, of runs between ASCII white space; each is encoded once while it is remembered."""
+
+    def __init__(self, tokenizer_path: str, width: int):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        known: dict[str, np.ndarray] = {}
+        self.tokenizer, self.kind = Tokenizer.from_file(tokenizer_path), {1: "B", 2: "H", 4: "I"}[width]
+        self.model, self.units, self.words = self.tokenizer.model, {}, {}
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in set(printable)]
+        self.byte_sign = {**{b: chr(b) for b in printable}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+        # other kinds of tokenizers take the plain way
+        self.fast = all(self._unit(x) == self._whole(x) for x in ("Word", "été", "...", "#&*"))
+
+    def _whole(self, text: str) -> bytes:
+        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _unit(self, text: str) -> bytes:
+        known = self.units.get(text)
+        if known is None:
+            if len(self.units) >= KNOWN:
+                self.units.clear()
+            low = text.lower()
+            signs = low if low.isascii() else low.encode().decode("latin-1").translate(self.byte_sign)
+            known = self.units[text] = array(self.kind, [t.id for t in self.model.tokenize(signs)]).tobytes()
+        return known
+
+    def __call__(self, word: str) -> bytes:
+        known = self.words.get(word)
+        if known is None:
+            if len(self.words) >= KNOWN:
+                self.words.clear()
+            m = PLAIN.fullmatch(word) if self.fast else None
+            if not m:
+                known = self._whole(word)
+            else:
+                known = self._unit(m[1]) + self._unit(m[2]) if m[2] else self._unit(m[1])
+            self.words[word] = known
+        return known
+
+
+@lru_cache(maxsize=1)
+def word_ids(tokenizer_path: str, width: int) -> WordIds:
+    """One for each Python worker, kept over its tasks."""
+    return WordIds(tokenizer_path, width)
+
+
+def _tokens(tokenizer_path: str, end_id: int, width: int):
+    """Arrow batches of (doc_id, text, tie) to (doc_id, tie, n, ids as bytes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of, end = word_ids(tokenizer_path, width), np.array([end_id], f"<u{width}").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 words = pc.ascii_split_whitespace(pc.fill_null(part.column(1), ""))
-                words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
                 per_doc = np.diff(words.offsets.to_numpy())
                 coded = words.flatten().dictionary_encode()
-                new = [w for w in coded.dictionary.to_pylist() if w not in known]
-                if len(known) > 400_000:
-                    known, new = {}, coded.dictionary.to_pylist()
-                for lo in range(0, len(new), 20_000):
-                    for w, e in zip(new[lo : lo + 20_000], tokenizer.encode_batch(new[lo : lo + 20_000], add_special_tokens=False)):
-                        known[w] = np.array(e.ids, f"<u{width}")
-                table = [known[w] for w in coded.dictionary.to_pylist()]
-                table.append(np.array([end_id], f"<u{width}"))
-                size = np.array([len(x) for x in table], np.int64)
+                table = [ids_of(w) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+                table.append(end)
+                size = np.fromiter(map(len, table), np.int64, len(table)) // width
                 first = np.cumsum(size) - size
                 # word numbers of all documents, with the end id's number after each
                 closes = np.cumsum(per_doc + 1) - 1
@@ -157,7 +203,7 @@ def _tokens(tokenizer_path: str, end_id: int, width: int):
                 which[inner] = coded.indices.to_numpy(zero_copy_only=False)
                 reps = size[which]
                 ends = np.cumsum(reps)
-                flat = np.concatenate(table)[np.repeat(first[which] - (ends - reps), reps) + np.arange(int(ends[-1]) if len(ends) else 0)]
+                flat = np.frombuffer(b"".join(table), f"<u{width}")[np.repeat(first[which] - (ends - reps), reps) + np.arange(int(ends[-1]) if len(ends) else 0)]
                 stops = ends[closes] if len(closes) else np.zeros(0, np.int64)
                 starts = np.concatenate([[0], stops[:-1]]).astype(np.int64)
                 raw = flat.tobytes()
