@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lanternflow.llm import decontamination, language_id, licences, mixing, secrets, simhash_dedup, token_files, topk_search, warc
+from lanternflow.llm import decontamination, language_id, licences, mixing, secrets, simhash_dedup, token_files, topk_search, url_filter, warc
 
-MODULES = (decontamination, language_id, licences, mixing, secrets, simhash_dedup, topk_search, warc, token_files)
+MODULES = (decontamination, language_id, licences, mixing, secrets, simhash_dedup, topk_search, url_filter, warc, token_files)
 
 
 def queries() -> dict:
