@@ -45,7 +45,7 @@ def workspace(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and return a reader of it."""
     path = workspace(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
