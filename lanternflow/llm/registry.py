@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from lanternflow.llm import decontamination, language_id, licences, mixing, secrets, simhash_dedup, token_files, topk_search, url_filter, warc
 
-MODULES = (decontamination, language_id, licences, mixing, secrets, simhash_dedup, topk_search, url_filter, warc, token_files)
+MODULES = (mixing, language_id, url_filter, topk_search, decontamination, secrets, simhash_dedup, warc, token_files, licences)
 
 
 def queries() -> dict:
-    return {k: f for m in MODULES for k, f in m.QUERIES.items()}
+    return {k: f for m in MODULES for k, f in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for m in MODULES for k, s in m.SQL.items()}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {k: s for m in MODULES for k, s in m.SQL.items()} | own
