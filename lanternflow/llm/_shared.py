@@ -78,3 +78,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows of an Arrow batch, so that long texts fit a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def join_hot_apart(rows: DataFrame, table: DataFrame, key: str, n: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with table on key, where table has a row for each key and n says how many rows have it.
+
+    Keys with more than a thousandth of all rows (at most a thousand keys, so they may be broadcast) meet their rows
+    where these are; only the others are shuffled.  No task gets more than its share of a hot key."""
+    hot = F.col(n) > max(1000, total // 1000)
+    few, many = F.broadcast(table.where(hot)), table.where(~hot)
+    return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(many, key, how))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import read_table, small_batches, staged
+from lanternflow.llm._shared import join_hot_apart, read_table, small_batches, staged
 from lanternflow.llm.graph import components
 
 RADIUS, SHINGLE, SEED, SEGMENT, SEGMENTS, FAN = 2, 3, 42, 32_768, 64, 4
@@ -196,12 +196,13 @@ def linked_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, tie, fp, root (names the component), component_id (its smallest doc_id)."""
     rows = staged(fingerprints(docs, shingle), "fingerprints")
-    first = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    first = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
     links = linked_fingerprints(first.select("fp"), radius)
     named = links.union(links.select("root", "root").distinct()).withColumnRenamed("node", "fp")
     least = named.join(first, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
-    of = first.join(named.join(least, "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
-    return rows.join(of, "fp").select("doc_id", "tie", "fp", "root", "component_id")
+    of = first.join(named.join(least, "root"), "fp", "left").select("fp", "n", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
+    of = staged(of, "fingerprint-components")
+    return join_hot_apart(rows, of, "fp", "n", rows.count()).select("doc_id", "tie", "fp", "root", "component_id")
 
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
