@@ -146,10 +146,14 @@ def fold(doc_id: Column) -> Column:
 def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     """lang, text of at most per_lang rows of each language, by hash of doc_id; fold 0 is left out."""
     may = docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull())
-    hashed = may.select("lang", F.xxhash64("doc_id").alias("h")).withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h")))
-    last = hashed.where(F.col("k") <= per_lang).groupBy("lang").agg(F.max("h").alias("last"))
-    # a row for each language
-    return may.join(F.broadcast(last), "lang").where(F.xxhash64("doc_id") <= F.col("last")).select(F.col("lang").cast("string").alias("lang"), "text")
+    share = may.groupBy(F.col("lang").alias("__lang")).agg((F.lit(2.0 * per_lang) / F.count(F.lit(1))).alias("__share"))
+    # a row for each language; twice the rows wanted pass by hash, so that no language is ranked as a whole
+    drawn = may.join(F.broadcast(share), F.col("lang") == F.col("__lang")).withColumn("__h", F.xxhash64("doc_id"))
+    drawn = drawn.where(F.pmod("__h", F.lit(1 << 30)) < F.col("__share") * (1 << 30)).select("lang", "__h")
+    last = drawn.withColumn("__k", F.row_number().over(W.partitionBy("lang").orderBy(F.pmod("__h", F.lit(1 << 30)), "__h"))).where(F.col("__k") <= per_lang)
+    last = last.groupBy(F.col("lang").alias("__lang")).agg(F.max(F.pmod("__h", F.lit(1 << 30))).alias("__last"))
+    kept = may.join(F.broadcast(last), F.col("lang") == F.col("__lang")).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= F.col("__last"))
+    return kept.select(F.col("lang").cast("string").alias("lang"), "text")
 
 
 def fit(docs: DataFrame, dims: int = DIMS, gram: int = GRAM, per_lang: int = PER_LANG) -> tuple[list[str], np.ndarray]:
