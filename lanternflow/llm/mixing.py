@@ -5,7 +5,8 @@ over the cluster by (source, size, hash), each range counts its rows of each sou
 the counts of earlier ranges plus the place in its own range give a row's prefix sum of
 expected copies.  One random offset a source is added, and a document is emitted once for
 each integer boundary that its interval crosses.  As rows lie by size, errors of
-neighbours cancel, and a source's words miss its target by about one large document.
+neighbours cancel, and a source's words miss its target by one large document at most; of
+``TRIALS`` random offsets a source takes the one that misses it least.
 
 No source is gathered in one task: a source that holds a third of all rows is spread over
 a third of the ranges.  To the driver go two things only: a row for each source (a mix's
@@ -23,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,7 @@ from lanternflow.llm._shared import read_table, staged, word_count
 SOURCE, SIZE, ORDER, RANGE, PLACE, COPIES = (f"__mix_{x}" for x in ("source", "size", "order", "range", "place", "copies"))
 #: Offsets are multiples of this, so that offset plus whole numbers is exact.
 GRAIN = 1 << 20
+TRIALS = 16
 
 
 def cyclic_weights(weights: Sequence[float] = (3.0, 1.0, 2.0)) -> Callable[[int], float]:
@@ -91,16 +93,25 @@ def _copies(docs: DataFrame, weight_of: Callable[[int], float], share: float, mo
     for source, at, n, _ in sorted(counted, key=lambda x: x[1]):
         before.append((source, at, run.get(source, 0)))
         run[source] = run.get(source, 0) + n
-    goal = spark.createDataFrame([(s, size_of[s], t) for s, t in zip(names, want)], f"{SOURCE} string, source_size long, target double")
-    ahead = spark.createDataFrame(before, f"__s string, {RANGE} int, __before long").join(
-        goal.select(F.col(SOURCE).alias("__t"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("__rate"), (F.pmod(F.xxhash64(F.lit(seed), F.coalesce(SOURCE, F.lit("\0null"))), F.lit(GRAIN)) / F.lit(float(GRAIN))).alias("__offset")),
-        F.col("__s").eqNullSafe(F.col("__t")),
-    ).select(F.col(RANGE).alias("__r"), "__s", "__before", "__rate", "__offset")
-    # a row for each source and range, at most ranges plus sources
-    joined = placed.join(F.broadcast(ahead), (F.col(RANGE) == F.col("__r")) & F.col(SOURCE).eqNullSafe(F.col("__s")))
-    rank = F.col("__before") + F.col(PLACE)
-    crossed = F.floor(F.col("__offset") + F.col("__rate") * (rank + 1)) - F.floor(F.col("__offset") + F.col("__rate") * rank)
-    out = joined.withColumn(COPIES, F.least(crossed, F.ceil("__rate")).cast("long")).drop("__r", "__s", "__before", "__rate", "__offset", RANGE, PLACE, ORDER)
+    rate = {x: t / size_of[x] if size_of[x] else 0.0 for x, t in zip(names, want)}
+
+    def joined(offset: dict) -> DataFrame:
+        # a row for each source and range, at most ranges plus sources
+        ahead = spark.createDataFrame([(x, at, n, rate[x], offset[x]) for x, at, n in before], "__s string, __r int, __before long, __rate double, __offset double")
+        return placed.join(F.broadcast(ahead), (F.col(RANGE) == F.col("__r")) & F.col(SOURCE).eqNullSafe(F.col("__s")))
+
+    def crossed(offset: Column) -> Column:
+        rank = F.col("__before") + F.col(PLACE)
+        n = F.floor(offset + F.col("__rate") * (rank + 1)) - F.floor(offset + F.col("__rate") * rank)
+        return F.least(n, F.ceil("__rate")).cast("long")
+
+    # of TRIALS random offsets a source keeps the one whose words come nearest to its target
+    trial = [F.pmod(F.xxhash64(F.lit(seed), F.lit(k), F.coalesce(SOURCE, F.lit("\0null"))), F.lit(GRAIN)) / F.lit(float(GRAIN)) for k in range(TRIALS)]
+    tried = joined(dict.fromkeys(names, 0.0)).groupBy(SOURCE).agg(*[F.sum(crossed(t) * F.col(SIZE)).alias(f"w{k}") for k, t in enumerate(trial)], *[F.min(t).alias(f"o{k}") for k, t in enumerate(trial)]).collect()
+    goals = dict(zip(names, want))
+    best = {r[SOURCE]: min((abs(r[f"w{k}"] - goals[r[SOURCE]]), k, r[f"o{k}"]) for k in range(TRIALS))[2] for r in tried}
+    goal = spark.createDataFrame([(x, size_of[x], t) for x, t in zip(names, want)], f"{SOURCE} string, source_size long, target double")
+    out = joined(best).withColumn(COPIES, crossed(F.col("__offset"))).drop("__r", "__s", "__before", "__rate", "__offset", RANGE, PLACE, ORDER)
     return out, goal
 
 
