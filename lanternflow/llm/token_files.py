@@ -130,7 +130,8 @@ class TokenFile:
 #: Letters whose lower case is one letter again, then ASCII signs without the apostrophe: one or two units of the
 #: pre-tokenizer, which the model takes without the normaliser.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-KNOWN = 600_000
+KNOWN = 250_000
+SLICE_BYTES = 4 << 20
 
 
 class WordIds:
@@ -180,14 +181,25 @@ def word_ids(tokenizer_path: str, width: int) -> WordIds:
     return WordIds(tokenizer_path, width)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with some megabytes of text, or one row."""
+    at, size = 0, 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+        if size and size + n > SLICE_BYTES:
+            yield batch.slice(at, k - at)
+            at, size = k, 0
+        size += n
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
 def _tokens(tokenizer_path: str, end_id: int, width: int):
     """Arrow batches of (doc_id, text, tie) to (doc_id, tie, n, ids as bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end = word_ids(tokenizer_path, width), np.array([end_id], f"<u{width}").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in _slices(batch):
                 words = pc.ascii_split_whitespace(pc.fill_null(part.column(1), ""))
                 per_doc = np.diff(words.offsets.to_numpy())
                 coded = words.flatten().dictionary_encode()
