@@ -195,4 +195,13 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_warc_revisits": op8_warc_revisits}
-SQL: dict[str, str] = {}
+_digits = ", ".join(f"substr('{BASE32_OF_SPARK[1]}', cast((cast('0x' || substr(h, {10 * g + 1}, 10) as bigint) >> {35 - 5 * j}) & 31 as integer) + 1, 1)" for g in range(4) for j in range(8))
+SQL = {
+    "op8_warc_revisits": f"""
+with p as (select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as h from pages),
+o as (select *, min(page_id) over (partition by h) as original from p)
+select page_id, cast(n as bigint) as payload_bytes, concat({_digits}) as payload_digest,
+  case when page_id <> original then 'revisit' else 'response' end as record_type, case when page_id <> original then original end as refers_to
+from o
+"""
+}
