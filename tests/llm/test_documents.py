@@ -264,3 +264,26 @@ def test_licences(frame, docs, none):
                 want[300 + k, name] = max(score, want.get((300 + k, name), 0))
     assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()} and len(want) >= 4
     assert licences.scan(none).count() == 0
+
+
+def test_every_licence_line_of_documents_finds_its_licence(spark, frame):
+    lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want = {(r.doc_id, lines.get(x, x)) for r in docs.where("text ilike '%licens%'").collect() for x in r.text.split("\n") if "licens" in x.lower()}
+    assert {n for _, n in want} == set(lines.values()) and {(r.doc_id, r.license_id) for r in licences.scan(docs).collect()} == want
+    texts = [t for _, t in licences.FAMILIES]
+    got = licences.scan(frame([(k, f"x\n{t}\ny", "aa", "s") for k, t in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.license_id, r.score) for r in got} == {(k, n, 1.0) for k, (n, _) in enumerate(licences.FAMILIES)}
+
+
+def test_licence_sql_holds_for_its_own_templates(spark):
+    import duckdb
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{path}'")
+    want = {tuple(r) for r in con.execute(licences.SQL["op10_licence_scan"]).fetchall()}
+    docs = spark.read.parquet(path)
+    assert {tuple(r) for r in licences.scan(docs, licences.TEMPLATES).collect()} == want
+    more = {tuple(r) for r in licences.scan(docs).collect()} - want
+    assert more and {r[1] for r in more} <= {n for n, _ in licences.FAMILIES}
