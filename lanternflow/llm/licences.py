@@ -7,9 +7,18 @@ ones over the sum of both sizes.  A score of t or more needs sizes within a fact
 (2 - t) / t, so templates are looked up by a segment's size, and those out of bounds are
 never compared.  The best template of a segment counts, if it reaches ``threshold``.
 
+What lies between segments that match is searched further, whatever its lines and
+paragraphs: windows of each template's own number of words that start at one of its
+bigrams (shorter at the end) are compared in the same way.  A window is a segment if it
+overlaps none that is better; of equals the last name, the longest and the first come first.
+
+A match shares so many bigrams with its template that it can't lack all of a few words
+(``anchors``); texts and segments without any of them are left out before all else.
+
 All of it is DataFrame operations; the lookup by size is broadcast, its rows bounded by
-the templates.  Segments are scored in the row that holds them, and only matches are
-shuffled.
+the templates.  Segments and windows are scored in the row that holds them, and only
+matches are shuffled.  Windows that match in one text are compared with those kept there,
+so a text of thousands of notices within lines takes longer than in proportion.
 
 Cases: null and empty texts and segments of fewer than two words match nothing; very long
 texts are split whole; ties between templates go to the last name; null doc_ids are kept;
@@ -21,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +38,8 @@ from pyspark.sql import functions as F
 from lanternflow.llm._shared import read_table
 
 THRESHOLD = 0.8
+#: Anchors are words of these only where a template has too few others.
+COMMON = frozenset("a all and any are as at be by can conditions following for free from further if in including is it may must no not of on or other out permitted possible project provided public purpose related rights shall source special specific terms that the their they this to under use used version warranty whether which with without work you your 0 1 2 3 4".split())
 #: Notices and headers of public licences.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -77,6 +89,38 @@ def bigrams(segment: Column) -> Column:
     return F.array_distinct(F.transform(F.arrays_zip(w.alias("a"), F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))).alias("b")), lambda p: F.when(p["b"].isNotNull(), F.xxhash64(p["a"], p["b"]))))
 
 
+def least_shared(m: int, threshold: float) -> int:
+    """Bigrams that a match shares with a template of m, at least."""
+    return math.ceil(threshold * (m + math.ceil(m * threshold / (2 - threshold) - 1e-9)) / 2 - 1e-9)
+
+
+def anchors(templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
+    """Words of which each match of a template has one: fewer of its bigrams are without than a match can lack."""
+    words = [re.findall(r"[^\W_]+", text.lower()) for _, text in templates]
+    needs = [(p, len(p) - least_shared(len(p), threshold) + 1) for p in ({*zip(w, w[1:])} for w in words) if p]
+
+    def lacking(chosen: list[str]) -> list[tuple[list[tuple[str, str]], int]]:
+        """For templates that need more words: pairs without any, and how many must still get one."""
+        free = [([x for x in p if not {*x} & {*chosen}], len(p) - n) for p, n in needs]
+        return [(p, len(p) - may) for p, may in free if len(p) > may]
+
+    chosen: list[str] = []
+    while open_ := lacking(chosen):
+        gain = Counter()
+        for pairs, lack in open_:
+            gain.update({w: min(n, lack) for w, n in Counter(w for p in pairs for w in {*p}).items()})
+        chosen.append(max(gain, key=lambda w: (w not in COMMON, gain[w], w)))
+    for word in sorted(chosen, key=lambda w: (w not in COMMON, len(w), w)):
+        if not lacking(rest := [w for w in chosen if w != word]):
+            chosen = rest
+    return chosen
+
+
+def anchored(text: Column, words: list[str]) -> Column:
+    """Whether a lower-case text has one of the words."""
+    return text.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(sorted(words))})(?![\p{{L}}\p{{N}}])")
+
+
 def lookup(spark: SparkSession, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """n -> templates that a segment of n bigrams can match."""
     rows = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(text).alias("text")) for name, text in templates])
@@ -95,16 +139,54 @@ def segments(docs: DataFrame) -> DataFrame:
     return text.select("doc_id", F.explode(F.concat(lines, paragraphs)).alias("segment"))
 
 
+def windows(docs: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, best (score, name): windows in what no line or paragraph that matches holds."""
+    words, floor = anchors(templates, threshold), threshold - 1e-9
+    sets = [(name, w, len({*zip(w, w[1:])})) for name, text in templates if len(w := re.findall(r"[^\W_]+", text.lower())) > 1]
+    known = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(w)).alias("words"), F.lit(m).alias("m"), F.lit(least_shared(m, threshold)).alias("least"), F.array_compact(bigrams(F.lit(" ".join(w)))).alias("s")) for name, w, m in sets])
+    mark = "\x01"  # in no normalised text
+
+    def dice(t: Column, s: Column) -> Column:
+        return F.lit(2.0) * F.size(F.array_intersect(t["s"], s)) / (t["m"] + F.size(F.array_distinct(s)))
+
+    def hit(segment: Column) -> Column:
+        return anchored(segment, words) & F.exists(F.array(F.array_compact(bigrams(segment))), lambda s: F.exists(known, lambda t: (F.size(s) >= t["m"] * (threshold / (2 - threshold)) - 1e-9) & (F.size(s) <= t["m"] * ((2 - threshold) / threshold) + 1e-9) & (dice(t, s) >= floor)))
+
+    def without_lines(paragraph: Column) -> Column:
+        return F.array_join(F.transform(F.split(paragraph, "\n"), lambda x: F.when(hit(x), mark).otherwise(x)), "\n")
+
+    text = docs.select("doc_id", normalised(F.col("text")).alias("x"))
+    rest = F.array_join(F.transform(F.split("x", r"\n ?\n"), lambda p: F.when(p.contains("\n") & hit(p), mark).otherwise(without_lines(p))), "\n")
+    stretch = text.select("doc_id", F.explode(F.split(rest, mark)).alias("x")).where(anchored(F.col("x"), words))
+    w = F.split(F.trim(F.regexp_replace("x", r"[ \n]+", " ")), " ")
+    pairs = stretch.select("doc_id", w.alias("w")).where(F.size("w") > 1).select("doc_id", F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.xxhash64(a, b)).alias("h"))
+    near = pairs.withColumn("near", F.array_intersect("h", F.array_distinct(F.flatten(F.transform(known, lambda t: t["s"])))))
+    near = near.select("doc_id", "h", F.filter(known, lambda t: F.size(F.array_intersect(t["s"], F.col("near"))) >= t["least"]).alias("may")).where(F.size("may") > 0)
+
+    def of(t: Column) -> Column:
+        at = F.array_compact(F.transform("h", lambda x, k: F.when(F.array_contains(t["s"], x), k + 1)))
+        scored = F.transform(at, lambda k: F.struct(dice(t, F.slice("h", k, t["words"] - 1)).alias("score"), t["name"].alias("name"), t["words"].alias("words"), (-k).alias("at")))
+        return F.filter(scored, lambda c: c["score"] >= floor)
+
+    found = near.select("doc_id", F.sort_array(F.flatten(F.transform("may", of)), False).alias("c")).where(F.size("c") > 0)
+    apart = lambda c, k: (-c["at"] >= -k["at"] + k["words"]) | (-k["at"] >= -c["at"] + c["words"])
+    kept = F.aggregate("c", F.slice("c", 1, 0), lambda kept, c: F.when(F.forall(kept, lambda k: apart(c, k)), F.concat(kept, F.array(c))).otherwise(kept))
+    return found.select("doc_id", F.explode(kept).alias("k")).select("doc_id", F.struct(F.col("k.score").alias("score"), F.col("k.name").alias("name")).alias("best"))
+
+
 def scan(docs: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license_id, score (best Dice of its segments), segments (how many match)."""
     words = [re.findall(r"[^\W_]+", text.lower()) for _, text in templates]
     least = min(math.ceil(m * threshold / (2 - threshold) - 1e-9) for w in words if (m := len(set(zip(w, w[1:])))))
+    may = anchors(templates, threshold)
+    docs = docs.select("doc_id", "text").where(anchored(F.lower("text"), may))
     # n bigrams take n spaces or line ends
-    seen = segments(docs).where(F.length("segment") - F.length(F.translate("segment", " \n", "")) >= least)
+    seen = segments(docs).where(anchored(F.col("segment"), may)).where(F.length("segment") - F.length(F.translate("segment", " \n", "")) >= least)
     sets = seen.select("doc_id", F.array_compact(bigrams(F.col("segment"))).alias("s")).withColumn("n", F.size("s"))
     met = sets.join(F.broadcast(lookup(docs.sparkSession, templates, threshold)), "n")
     dice = F.array_max(F.transform("may", lambda t: F.struct((F.lit(2.0) * F.size(F.array_intersect(t["s"], F.col("s"))) / (t["m"] + F.col("n"))).alias("score"), t["name"].alias("name"))))
     best = met.select("doc_id", dice.alias("best")).where(F.col("best.score") >= threshold - 1e-9)
+    best = best.union(windows(docs, templates, threshold))
     return best.groupBy("doc_id", F.col("best.name").alias("license_id")).agg(F.max("best.score").alias("score"), F.count(F.lit(1)).alias("segments"))
 
 

@@ -287,3 +287,29 @@ def test_licence_sql_holds_for_its_own_templates(spark):
     assert {tuple(r) for r in licences.scan(docs, licences.TEMPLATES).collect()} == want
     more = {tuple(r) for r in licences.scan(docs).collect()} - want
     assert more and {r[1] for r in more} <= {n for n, _ in licences.FAMILIES}
+
+
+def test_licence_notices_within_lines_and_over_paragraphs(frame):
+    all_, isc, prose = dict(licences.ALL_TEMPLATES), licences.FAMILIES[-1][1], "plain words of no notice at all " * 40
+    cut, event = isc.index("THE SOFTWARE"), isc.index("IN NO EVENT")
+    texts = [
+        ("Copyright 2020 Foo Bar Inc. Released under the MIT License.", {("MIT", 1.0, 1)}),
+        (prose + "Licensed under CC BY-NC 4.0.", {("CC-BY-NC-4.0", 1.0, 1)}),
+        ("head\nsome code that is released\nunder the MIT\nLicense. and a tail\n" + prose, {("MIT", 1.0, 1)}),
+        (isc[:cut] + "\n\n" + isc[cut:event] + "\n\n" + isc[event:], {("ISC", 1.0, 1)}),
+        (prose + all_["BSD-3-Clause"].replace("1. ", "\n\n1. ").replace("THIS", "\n\nTHIS") + prose, {("BSD-3-Clause", 1.0, 1)}),
+        ("a Released under the MIT License. b c d e f " * 3, {("MIT", 1.0, 3)}),
+        ("x\nReleased under the MIT License.\nthis code is Licensed under CC BY 4.0. by its makers, all of them", {("MIT", 1.0, 1), ("CC-BY-4.0", 1.0, 1)}),
+        ("the MIT people released under the table a License", set()),
+        (prose, set()),
+    ]
+    got = licences.scan(frame([(k, t, "aa", "s") for k, (t, _) in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.license_id, r.score, r.segments) for r in got} == {(k, *m) for k, (_, want) in enumerate(texts) for m in want}
+
+
+def test_no_licence_match_lacks_all_anchors():
+    words = {*licences.anchors()}
+    for _, text in licences.ALL_TEMPLATES:
+        pairs = grams(text, 2)
+        assert sum(not words & {*p} for p in pairs) < licences.least_shared(len(pairs), licences.THRESHOLD)
+    assert all(licences.least_shared(m, 0.8) == min(s for n in range(1, 3 * m) for s in range(1, m + 1) if s <= n and 2 * s / (m + n) >= 0.8 - 1e-9) for m in range(1, 60))
