@@ -34,6 +34,9 @@ from lanternflow.llm._shared import read_table, small_batches
 
 GRAM, DIMS, PER_LANG, PIECE = 3, 1024, 1000, 1 << 20
 UNKNOWN = "und"
+#: A text unrelated to a prototype has a cosine with a deviation of about 1 / sqrt(dims); ``accepted`` wants this many.
+#: Texts of fewer letters than SHORT share too few n-grams with any language to be told from noise.
+DEVIATIONS, SHORT = 5, 40
 
 
 class Encoder:
@@ -203,8 +206,12 @@ def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], dims: int =
 
 
 def accepted(docs: DataFrame, model: tuple[list[str], np.ndarray], dims: int = DIMS, gram: int = GRAM) -> DataFrame:
-    """docs in a learned language; those without a letter go, as do those that are like no prototype."""
-    return identified(docs, model, dims, gram).where((F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_score") > 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs in a learned language; those without a letter go, as do those that are like no prototype.
+
+    Like one is a cosine of DEVIATIONS / sqrt(dims) or more (0.156 at 1,024); for texts of fewer than SHORT letters, above 0."""
+    near, letters = F.col("__lang_score") >= DEVIATIONS / dims**0.5, F.length(F.regexp_replace("text", r"\P{L}+", ""))
+    like = (F.col("__lang_score") > 0) & (near | (letters < SHORT))
+    return identified(docs, model, dims, gram).where((F.col("__lang_pred") != UNKNOWN) & like).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,6 +170,20 @@ def test_language_id_learns(frame):
     assert out.where("__lang_pred = lang").count() >= 0.95 * out.count() > 0
 
 
+def test_accepted_texts_are_like_a_learned_language(frame):
+    import random
+
+    from llm_words import sentence
+
+    rng = random.Random(9)
+    known = [(k, sentence(rng, lang), lang, "s") for k in range(300) for lang in [("nord", "sud", "ost")[k % 3]]]
+    random_words = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(4, 9))) for _ in range(60))
+    scripts = ["".join(map(chr, range(*r))) for r in ((0x430, 0x450), (0x3B1, 0x3C9), (0x4E00, 0x5000), (0x5D0, 0x5EB))] + ["bcdhjmquxz"]
+    strange = [(1000 + k, random_words(scripts[k % 5]), None, "s") for k in range(100)]
+    kept = {r.doc_id for r in language_id.accepted(frame(known + strange), language_id.fit(frame(known))).collect()}
+    assert kept == {r[0] for r in known}
+
+
 def test_language_vectors_are_sums_of_bound_letters():
     e = language_id.Encoder(64)
     code = lambda *letters: np.prod([np.roll(e._vector(ord(c) if c != " " else 0), 2 - j) for j, c in enumerate(letters)], axis=0)
