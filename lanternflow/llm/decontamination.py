@@ -1,13 +1,13 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
+"""Benchmark decontamination by MinHash containment search.
 
 An item leaks into a document if at least ``threshold`` of the item's distinct word
-shingles are in the document, however long that is.  Items are partitioned by the size of
-their shingle set, and each keeps a MinHash sketch whose length goes with its size: the
+shingles are in the document, however long that is.  Items are not partitioned by the
+size of their shingle set; each keeps one prefix-style MinHash sketch whose length goes with it: the
 ``m - ceil(threshold * m) + 1`` shingles with the smallest hashes.  A document that has
 ``ceil(threshold * m)`` of m shingles can miss all of a sketch of that length only if it
 misses too many, so the search has no false negatives.  (A fixed number of banded minima
 has, as a short item and a long document share almost none of their minima.)  Document
-shingles are probed against the sketches of a size partition; hits are candidates, and only
+shingles are probed against the sketches of items of the same shingle width; hits are candidates, and only
 candidate documents are read again, with their sets, for the exact containment.
 
 All of it is DataFrame operations.  Sketches and item sets are broadcast while they have
