@@ -37,9 +37,27 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder name, unique to this call, in the shared folder."""
-    return f"{shared_dir(spark)}/lanternflow-{name}-{uuid.uuid4().hex}"
+_runs: dict[tuple[str, str], str] = {}
+
+
+def _in_store(spark: SparkSession, path: str):
+    """The store's own file system and the path in it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def workspace(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new folder name, unique to this call, in the shared folder.  It goes when the application ends, unless it is kept."""
+    base = shared_dir(spark)
+    if keep:
+        return f"{base}/lanternflow-{name}-{uuid.uuid4().hex}"
+    run = (spark.sparkContext.applicationId, base)
+    if run not in _runs:
+        _runs[run] = f"{base}/lanternflow-run-{uuid.uuid4().hex}"
+        store, root = _in_store(spark, _runs[run])
+        store.mkdirs(root)
+        store.deleteOnExit(root)
+    return f"{_runs[run]}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -49,6 +67,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more, as all that came of it is staged itself."""
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        store, path = _in_store(df.sparkSession, folder)
+        store.delete(path, True)
+
+
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and the path in it; works for file:, hdfs:, s3:, gs: and others that pyarrow knows."""
     return pafs.FileSystem.from_uri(uri if not uri.startswith("file:/") or uri.startswith("file://") else "file://" + uri[5:])
@@ -75,9 +100,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that long texts fit a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+#: Rows up to which a checked table may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int, most: int | None = None) -> DataFrame:
+    """df for the other side of a join: broadcast if it has few rows, else as it is, to be shuffled."""
+    return F.broadcast(df) if rows <= (BROADCAST_ROWS if most is None else most) else df
 
 
 def join_hot_apart(rows: DataFrame, table: DataFrame, key: str, n: str, total: int, how: str = "inner") -> DataFrame:

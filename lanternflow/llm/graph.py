@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import staged
+from lanternflow.llm._shared import discarded, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,4 +28,6 @@ def components(edges: DataFrame) -> DataFrame:
         large = staged(large.distinct(), "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        e = staged(small.distinct(), "small-star")
+        before, e = e, staged(small.distinct(), "small-star")
+        discarded(large)
+        discarded(before)
