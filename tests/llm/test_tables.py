@@ -43,6 +43,8 @@ def test_warc_round_trip(spark):
 def test_warc_records_of_a_plain_archive():
     data = warc.record(1, "http://a", b"body", "D", 4, None, "2024-01-01T00:00:00Z") + warc.record(2, "http://b", b"", "D", 4, 1, "2024-01-01T00:00:00Z")
     (a, block), (b, _) = warc.records(io.BytesIO(data))
+    with pytest.raises(EOFError):
+        list(warc.records(io.BytesIO(data[:-30])))
     assert a["warc-type"] == "response" and block.endswith(b"\r\n\r\nbody") and b["warc-refers-to"] == a["warc-record-id"]
 
 
@@ -59,6 +61,11 @@ def test_search(spark):
             best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in ok if i != q)[:5]
             want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
     assert {tuple(r) for r in got} == want and len(got) == len(want)
+    pair = spark.createDataFrame([(50, [1.0]), (50, [1.0]), (1, [0.5]), (2, [0.25]), (3, [2.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk_search.search(pair, pair.where("vec_id = 50"), k=2).collect())) == [(50, 1, 3, 512 * 256)] * 2 + [(50, 2, 1, 128 * 256)] * 2
+    huge = spark.createDataFrame([(0, [1e15, 1.0]), (1, [1e15, 1.0]), (2, [-1.0, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        topk_search.search(huge, huge.where("vec_id = 0")).collect()
     few = topk_search.search(df.where("vec_id in (0, 1, 2)"), df.where("vec_id = 0"))
     assert few.count() == 2
     assert topk_search.search(df.limit(0), df.where("vec_id = 0")).count() == 0 and topk_search.search(df, df.limit(0)).count() == 0
