@@ -7,15 +7,16 @@ often as they occur.  A language's prototype is the sum of the unit vectors of i
 training texts, less what all languages share, and a text goes to the prototype with the
 largest cosine.
 
-The fit takes the ``per_lang`` rows of each language with the smallest hash of their
-doc_id, a bound that does not grow with the corpus; the counts that choose them cover all
-rows.  Scoring is a pass over the texts without a shuffle; the model, a vector for each
+The fit takes, of each language, the ``per_lang`` distinct pairs of doc_id and text with
+the smallest hash, a bound that does not grow with the corpus; the counts that choose them
+cover all rows.  Scoring is a pass over the texts without a shuffle; the model, a vector for each
 language, travels with the code.
 
 Cases: texts that are null, empty or without letters get ``und`` and score 0, and so does
 every text if nothing could be learned; very long texts are counted a piece at a time; a
 null doc_id is neither held out nor learned from; null langs are not learned; equal
-cosines go to the first language by name; repeated rows are repeated; an empty table gives
+cosines go to the first language by name; repeated rows are learned from once and
+predicted each; a language with one row only is learned from that; an empty table gives
 an empty result; extra columns are carried through ``identified``.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from lanternflow.llm._shared import read_table, small_batches
+from lanternflow.llm._shared import read_table
 
 GRAM, DIMS, PER_LANG, PIECE = 3, 1024, 1000, 1 << 20
 UNKNOWN = "und"
@@ -147,21 +148,20 @@ def fold(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
-    """lang, text of at most per_lang rows of each language, by hash of doc_id; fold 0 is left out."""
-    may = docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull())
-    share = may.groupBy(F.col("lang").alias("__lang")).agg((F.lit(2.0 * per_lang) / F.count(F.lit(1))).alias("__share"))
-    # a row for each language; twice the rows wanted pass by hash, so that no language is ranked as a whole
-    drawn = may.join(F.broadcast(share), F.col("lang") == F.col("__lang")).withColumn("__h", F.xxhash64("doc_id"))
-    drawn = drawn.where(F.pmod("__h", F.lit(1 << 30)) < F.col("__share") * (1 << 30)).select("lang", "__h")
-    last = drawn.withColumn("__k", F.row_number().over(W.partitionBy("lang").orderBy(F.pmod("__h", F.lit(1 << 30)), "__h"))).where(F.col("__k") <= per_lang)
-    last = last.groupBy(F.col("lang").alias("__lang")).agg(F.max(F.pmod("__h", F.lit(1 << 30))).alias("__last"))
-    kept = may.join(F.broadcast(last), F.col("lang") == F.col("__lang")).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= F.col("__last"))
-    return kept.select(F.col("lang").cast("string").alias("lang"), "text")
+    """lang, text of at most per_lang distinct rows (doc_id, text) of each language, by hash; fold 0 is left out."""
+    wide = F.lit(1 << 30)
+    may = docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("__h"))
+    # a row for each language; twice the distinct rows wanted pass by hash, so that no language is ranked as a whole
+    share = may.groupBy(F.col("lang").alias("__lang")).agg((F.lit(2.0 * per_lang + 100) / F.approx_count_distinct("__h")).alias("__share"))
+    drawn = may.join(F.broadcast(share), F.col("lang") == F.col("__lang")).where(F.pmod("__h", wide) < F.col("__share") * wide).select("lang", "__h").distinct()
+    last = drawn.withColumn("__k", F.row_number().over(W.partitionBy("lang").orderBy(F.pmod("__h", wide), "__h"))).where(F.col("__k") <= per_lang)
+    kept = last.select(F.col("lang").alias("__lang"), F.col("__h").alias("__kept"))  # per_lang rows a language
+    rows = may.join(F.broadcast(kept), (F.col("lang") == F.col("__lang")) & (F.col("__h") == F.col("__kept")))
+    return rows.groupBy("lang", "__h").agg(F.first("text").alias("text")).select("lang", "text")
 
 
 def fit(docs: DataFrame, dims: int = DIMS, gram: int = GRAM, per_lang: int = PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages by name, and their prototypes."""
-    small_batches(docs.sparkSession, 1000)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total = Encoder(dims, gram), {}
@@ -200,7 +200,6 @@ def _predict(names: list[str], prototypes: np.ndarray, dims: int, gram: int, tex
 
 def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], dims: int = DIMS, gram: int = GRAM) -> DataFrame:
     """docs with __lang_pred and __lang_score."""
-    small_batches(docs.sparkSession, 1000)
     schema = T.StructType([*docs.schema.fields, T.StructField("__lang_pred", T.StringType()), T.StructField("__lang_score", T.DoubleType())])
     return docs.mapInArrow(_predict(*model, dims, gram, docs.columns.index("text")), schema)
 
