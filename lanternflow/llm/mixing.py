@@ -3,15 +3,16 @@
 Within a source every document expects ``target / source_size`` copies.  Rows are ranged
 over the cluster by (source, size, hash), each range counts its rows of each source, and
 the counts of earlier ranges plus the place in its own range give a row's prefix sum of
-expected copies.  One random offset a source is added, and a document is emitted once for
-each integer boundary that its interval crosses.  As rows lie by size, errors of
-neighbours cancel, and a source's words miss its target by one large document at most; of
-``TRIALS`` random offsets a source takes the one that misses it least.
+expected copies.  One random offset a source is added, drawn from the seed before anything
+is counted, and a document is emitted once for each integer boundary that its interval
+crosses.  As rows lie by size, errors of neighbours cancel, and a source's words miss its
+target by one large document at most.
 
 No source is gathered in one task: a source that holds a third of all rows is spread over
-a third of the ranges.  To the driver go two things only: a row for each source (a mix's
-recipe is a list of sources) and a row for each source and range (at most ranges plus
-sources).
+a third of the ranges.  Prefix sums over ranges are taken in the cluster (a source has at
+most one row a range there) and broadcast only up to ``BROADCAST_ROWS`` rows.  To the
+driver goes a row for each source: its name and its size, which is what a mix's recipe
+lists.
 
 Cases: a null text has size 0; a null source is a source of its own, last in order; a null
 doc_id is kept; repeated rows are sampled as rows of their own; sources without words take
@@ -22,18 +23,19 @@ columns are carried through ``mix``, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
-from lanternflow.llm._shared import read_table, staged, word_count
+from lanternflow.llm._shared import read_table, small, staged, word_count
 
 SOURCE, SIZE, ORDER, RANGE, PLACE, COPIES = (f"__mix_{x}" for x in ("source", "size", "order", "range", "place", "copies"))
 #: Offsets are multiples of this, so that offset plus whole numbers is exact.
 GRAIN = 1 << 20
-TRIALS = 16
 
 
 def cyclic_weights(weights: Sequence[float] = (3.0, 1.0, 2.0)) -> Callable[[int], float]:
@@ -44,20 +46,13 @@ def cyclic_weights(weights: Sequence[float] = (3.0, 1.0, 2.0)) -> Callable[[int]
 def targets(sizes: Sequence[int], weights: Sequence[float], share: float = 1.5, most: float = 2.0) -> list[float]:
     """Share ``share`` of all sizes by weight; a source stops at ``most`` times its size, and what is over goes to the
     others by weight until none is above."""
-    caps = [most * s for s in sizes]
     out = [0.0] * len(sizes)
-    left, open_ = share * sum(sizes), [k for k in range(len(sizes)) if weights[k] > 0]
-    while open_:
-        level = left / sum(weights[k] for k in open_)
-        full = [k for k in open_ if level * weights[k] >= caps[k]]
-        if not full:
-            for k in open_:
-                out[k] = level * weights[k]
-            break
-        for k in full:
-            out[k] = caps[k]
-        left = max(0.0, left - sum(caps[k] for k in full))
-        open_ = [k for k in open_ if k not in set(full)]
+    # a source is full first where its cap over its weight is smallest
+    order = sorted((k for k in range(len(sizes)) if weights[k] > 0), key=lambda k: sizes[k] / weights[k])
+    left, rest = share * sum(sizes), list(accumulate(weights[k] for k in reversed(order)))
+    for k in order:
+        out[k] = min(most * sizes[k], left * weights[k] / rest.pop())
+        left = max(0.0, left - out[k])
     return out
 
 
@@ -83,36 +78,20 @@ def _copies(docs: DataFrame, weight_of: Callable[[int], float], share: float, mo
     ranged = held.repartitionByRange(F.col(SOURCE).asc_nulls_last(), SIZE, ORDER).sortWithinPartitions(F.col(SOURCE).asc_nulls_last(), SIZE, ORDER)
     schema = T.StructType([*ranged.schema.fields, T.StructField(RANGE, T.IntegerType()), T.StructField(PLACE, T.LongType())])
     placed = staged(ranged.mapInArrow(_places, schema), "mix")
-    counted = [tuple(r) for r in placed.groupBy(SOURCE, RANGE).agg(F.count(F.lit(1)).alias("n"), F.sum(SIZE).alias("size")).collect()]
-    size_of: dict = {}
-    for source, _, _, size in counted:
-        size_of[source] = size_of.get(source, 0) + size
-    names = sorted(size_of, key=lambda s: (s is None, s or ""))
-    want = targets([size_of[s] for s in names], [weight_of(k) for k in range(len(names))], share, most)
-    before, run = [], {}
-    for source, at, n, _ in sorted(counted, key=lambda x: x[1]):
-        before.append((source, at, run.get(source, 0)))
-        run[source] = run.get(source, 0) + n
-    rate = {x: t / size_of[x] if size_of[x] else 0.0 for x, t in zip(names, want)}
-
-    def joined(offset: dict) -> DataFrame:
-        # a row for each source and range, at most ranges plus sources
-        ahead = spark.createDataFrame([(x, at, n, rate[x], offset[x]) for x, at, n in before], "__s string, __r int, __before long, __rate double, __offset double")
-        return placed.join(F.broadcast(ahead), (F.col(RANGE) == F.col("__r")) & F.col(SOURCE).eqNullSafe(F.col("__s")))
-
-    def crossed(offset: Column) -> Column:
-        rank = F.col("__before") + F.col(PLACE)
-        n = F.floor(offset + F.col("__rate") * (rank + 1)) - F.floor(offset + F.col("__rate") * rank)
-        return F.least(n, F.ceil("__rate")).cast("long")
-
-    # of TRIALS random offsets a source keeps the one whose words come nearest to its target
-    trial = [F.pmod(F.xxhash64(F.lit(seed), F.lit(k), F.coalesce(SOURCE, F.lit("\0null"))), F.lit(GRAIN)) / F.lit(float(GRAIN)) for k in range(TRIALS)]
-    tried = joined(dict.fromkeys(names, 0.0)).groupBy(SOURCE).agg(*[F.sum(crossed(t) * F.col(SIZE)).alias(f"w{k}") for k, t in enumerate(trial)], *[F.min(t).alias(f"o{k}") for k, t in enumerate(trial)]).collect()
-    goals = dict(zip(names, want))
-    best = {r[SOURCE]: min((abs(r[f"w{k}"] - goals[r[SOURCE]]), k, r[f"o{k}"]) for k in range(TRIALS))[2] for r in tried}
-    goal = spark.createDataFrame([(x, size_of[x], t) for x, t in zip(names, want)], f"{SOURCE} string, source_size long, target double")
-    out = joined(best).withColumn(COPIES, crossed(F.col("__offset"))).drop("__r", "__s", "__before", "__rate", "__offset", RANGE, PLACE, ORDER)
-    return out, goal
+    counted = staged(placed.groupBy(SOURCE, RANGE).agg(F.count(F.lit(1)).alias("__n"), F.sum(SIZE).alias("__words")), "mix-counts")
+    sizes = {r[0]: r[1] for r in counted.groupBy(SOURCE).agg(F.sum("__words")).collect()}
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    want = targets([sizes[x] for x in names], [weight_of(k) for k in range(len(names))], share, most)
+    goal = spark.createDataFrame([(x, sizes[x], t, t / sizes[x] if sizes[x] else 0.0) for x, t in zip(names, want)], f"{SOURCE} string, source_size long, target double, __rate double")
+    before = F.coalesce(F.sum("__n").over(W.partitionBy(SOURCE).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before")
+    ahead = counted.select(F.col(SOURCE).alias("__s"), F.col(RANGE).alias("__r"), before)
+    rated = goal.select(F.col(SOURCE).alias("__g"), "__rate")
+    rows = placed.join(small(ahead, counted.count()), (F.col(RANGE) == F.col("__r")) & F.col(SOURCE).eqNullSafe(F.col("__s"))).join(small(rated, len(names)), F.col(SOURCE).eqNullSafe(F.col("__g")))
+    offset = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(SOURCE, F.lit("\0null"))), F.lit(GRAIN)) / F.lit(float(GRAIN))
+    rank = F.col("__before") + F.col(PLACE)
+    crossed = F.floor(offset + F.col("__rate") * (rank + 1)) - F.floor(offset + F.col("__rate") * rank)
+    out = rows.withColumn(COPIES, F.least(crossed, F.ceil("__rate")).cast("long"))
+    return out.drop("__r", "__s", "__g", "__before", "__rate", RANGE, PLACE, ORDER), goal.drop("__rate")
 
 
 def mix(docs: DataFrame, weight_of: Callable[[int], float] | None = None, share: float = 1.5, most: float = 2.0, seed: int = 20) -> DataFrame:
@@ -125,7 +104,7 @@ def mix_report(docs: DataFrame, weight_of: Callable[[int], float] | None = None,
     """A row for each document: doc_id, source, size, source_size, target, copies, taken (words the mix takes)."""
     out, goal = _copies(docs.select("doc_id", "source", "text"), weight_of or cyclic_weights(), share, most, seed, "narrow")
     goal = goal.withColumnRenamed(SOURCE, "__g")
-    return out.join(F.broadcast(goal), F.col(SOURCE).eqNullSafe(F.col("__g"))).select(
+    return out.join(small(goal, goal.count()), F.col(SOURCE).eqNullSafe(F.col("__g"))).select(
         "doc_id", F.col(SOURCE).alias("source"), F.col(SIZE).alias("size"), "source_size", "target", F.col(COPIES).alias("copies"), (F.col(COPIES) * F.col(SIZE)).alias("taken")
     )
 
