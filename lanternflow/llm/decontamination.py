@@ -1,18 +1,25 @@
-"""Benchmark decontamination by MinHash containment search.
+"""Benchmark decontamination by size-partitioned MinHash containment search.
 
 An item leaks into a document if at least ``threshold`` of the item's distinct word
-shingles are in the document, however long that is.  Items are not partitioned by the
-size of their shingle set; each keeps one prefix-style MinHash sketch whose length goes with it: the
-``m - ceil(threshold * m) + 1`` shingles with the smallest hashes.  A document that has
-``ceil(threshold * m)`` of m shingles can miss all of a sketch of that length only if it
-misses too many, so the search has no false negatives.  (A fixed number of banded minima
-has, as a short item and a long document share almost none of their minima.)  Document
-shingles are probed against the sketches of items of the same shingle width; hits are candidates, and only
-candidate documents are read again, with their sets, for the exact containment.
-
-All of it is DataFrame operations.  Sketches and item sets are broadcast while they have
-at most ``BROADCAST_ROWS`` rows, and shuffled beyond; a document's shingles are spread as
-rows and never gathered with those of another one.
+shingles are in the document, however long that is.
+
+Items are partitioned by the size of their shingle set, in powers of two.  A partition
+holds a MinHash signature of each of its items: the item's smallest hashes, all items of a
+partition as many, namely ``top - ceil(threshold * top) + 1`` for the largest size ``top``
+of the partition (or all that the item has).  The shingles of a document, however many, are
+probed against all signatures in one pass.  If s of an item's k signature hashes are met,
+s / k estimates its containment; a document with ``ceil(threshold * m)`` of the item's m
+shingles can miss at most ``m - ceil(threshold * m)`` of the signature, so pairs with fewer
+than ``k - (m - ceil(threshold * m))`` hits are dropped, and no leak is.  (Banded minima of
+whole documents have no such bound: a short item and a long document share almost none of
+them.)  What is left are candidates; their shingles are counted against the whole sets for
+the exact containment.  ``candidates`` reports for each partition how many there were and
+how many of them are leaks.
+
+All of it is DataFrame operations, and no text is shuffled: a document row is named by its
+doc_id and a hash of its text, and candidate rows are found again by that.  Signatures,
+sets and candidates are broadcast while they have at most ``BROADCAST_ROWS`` rows, and
+shuffled beyond; shingles are spread as rows and counted, and never gathered.
 
 Cases: words are runs of letters and digits, in lower case; items with fewer words than a
 shingle are compared as a whole, in shingles of their own length; null and empty texts and
@@ -26,10 +33,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import read_table, staged
+from lanternflow.llm._shared import read_table, small, staged
 
 WORDS, THRESHOLD, BROADCAST_ROWS = 5, 0.8, 1_000_000
-DOC, ITEM = "__doc", "__item"
+DOC, ITEM, ROW = "__doc", "__item", "__row"
 
 
 def words(text: Column) -> Column:
@@ -44,55 +51,77 @@ def shingles(tokens: Column, size: int) -> Column:
 
 
 def item_sets(items: DataFrame, size: int = WORDS) -> DataFrame:
-    """ITEM, width (words in a shingle), hash, m (shingles of the item): a row for each distinct shingle."""
+    """key, ITEM, width (words in a shingle), m (distinct shingles of the item), part (size partition), hash: a row for each shingle."""
     t = items.select(F.col("item_id").alias(ITEM), words(F.col("text")).alias("w")).where(F.size("w") > 0)
     sets = F.array_distinct(F.coalesce(*[F.when(F.least(F.size("w"), F.lit(size)) == k, shingles(F.col("w"), k)) for k in range(1, size + 1)]))
-    t = t.select(F.xxhash64(ITEM, F.concat_ws(" ", "w")).alias("key"), ITEM, F.least(F.size("w"), F.lit(size)).alias("width"), sets.alias("s"))
-    return t.select("key", ITEM, "width", F.size("s").alias("m"), F.explode("s").alias("hash"))
+    t = t.select(F.xxhash64(ITEM, F.concat_ws(" ", "w")).alias("key"), ITEM, F.least(F.size("w"), F.lit(size)).alias("width"), sets.alias("s")).dropDuplicates(["key"])
+    m = F.size("s")
+    return t.select("key", ITEM, "width", m.alias("m"), F.floor(F.log2(m.cast("double")) + F.lit(1e-9)).cast("int").alias("part"), F.explode("s").alias("hash"))
 
 
-def sketches(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The smallest hashes of each item, as many as its size asks for."""
-    kept = F.col("m") - F.ceil(F.lit(threshold) * F.col("m") - F.lit(1e-9)) + 1
-    lists = sets.groupBy("key", "width", "m").agg(F.array_sort(F.collect_set("hash")).alias("s"))
-    return lists.select("key", "width", F.explode(F.slice("s", F.lit(1), kept.cast("int"))).alias("hash"))
+def _needed(m: Column, threshold: float) -> Column:
+    """ceil(threshold * m)."""
+    return F.ceil(F.lit(threshold) * m - F.lit(1e-9)).cast("int")
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def signatures(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """key, width, least (hits that a leak has at least), hash: the smallest hashes of each item, as many as its partition asks for."""
+    top = sets.groupBy("part").agg(F.max("m").alias("top"))  # a row for each power of two
+    lists = sets.groupBy("key", "width", "part", "m").agg(F.array_sort(F.collect_set("hash")).alias("s")).join(F.broadcast(top), "part")
+    k = F.least(F.col("m"), F.col("top") - _needed(F.col("top"), threshold) + 1)
+    return lists.select("key", "width", (k - (F.col("m") - _needed(F.col("m"), threshold))).alias("least"), F.explode(F.slice("s", F.lit(1), k)).alias("hash"))
+
+
+def _probes(docs: DataFrame, widths: list[int]) -> DataFrame:
+    """DOC, ROW, width, hash: the shingles of each document row, of all widths that items have, in one pass."""
+    text = docs.select(F.col("doc_id").alias(DOC), F.xxhash64("text").alias(ROW), words(F.col("text")).alias("w"))
+
+    def of(width: int) -> Column:
+        return F.transform(shingles(F.col("w"), width), lambda h: F.struct(F.lit(width).alias("width"), h.alias("hash")))
+
+    return text.select(DOC, ROW, F.inline(F.concat(*map(of, widths))))
+
+
+def _found(docs: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame] | None:
+    """Candidate pairs (DOC, ROW, key), and the shared shingles of each that is a leak; None without items."""
+    rows = sets.count()
+    widths = sorted(r[0] for r in sets.select("width").distinct().collect())  # at most as many as words in a shingle
+    if not widths:
+        return None
+    hits = _probes(docs, widths).join(small(signatures(sets, threshold), rows, BROADCAST_ROWS), ["width", "hash"]).select(DOC, ROW, "key", "least", "hash").distinct()
+    pairs = staged(hits.groupBy(DOC, ROW, "key", "least").agg(F.count(F.lit(1)).alias("n")).where("n >= least").select(DOC, ROW, "key"), "candidate-pairs")
+    named = pairs.select(F.col(DOC).alias("__d"), F.col(ROW).alias("__r")).distinct()
+    again = docs.select("doc_id", "text").join(small(named, pairs.count(), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__r")), "left_semi")
+    held = _probes(again, widths).join(small(sets.select("width", "hash", "key"), rows, BROADCAST_ROWS), ["width", "hash"]).select(DOC, ROW, "key", "hash").distinct()
+    shared = held.groupBy(DOC, ROW, "key").agg(F.count(F.lit(1)).alias("shared"))
+    return pairs, shared.join(small(sets.select("key", ITEM, "m", "part").distinct(), rows, BROADCAST_ROWS), "key").where(F.col("shared") >= F.lit(threshold) * F.col("m") - F.lit(1e-9))
 
 
 def leaks(docs: DataFrame, items: DataFrame, size: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, shared, item_shingles, containment of each leak.  item text is bounded by nothing but its own
-    table: a shingle set is as long as its item."""
+    """doc_id, item_id, shared, item_shingles, containment of each leak."""
+    found = _found(docs, staged(item_sets(items, size), "item-sets"), threshold)
+    if found is None:
+        return docs.select("doc_id").limit(0).select("doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0).cast("long").alias("shared"), F.lit(0).cast("long").alias("item_shingles"), F.lit(0.0).alias("containment"))
+    best = found[1].groupBy(DOC, ITEM).agg(F.max(F.struct((F.col("shared") / F.col("m")).alias("containment"), "shared", F.col("m").alias("item_shingles"))).alias("b"))
+    return best.select(F.col(DOC).alias("doc_id"), F.col(ITEM).alias("item_id"), "b.shared", F.col("b.item_shingles").cast("long").alias("item_shingles"), "b.containment")
+
+
+def candidates(docs: DataFrame, items: DataFrame, size: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """part, smallest, candidates, verified: pairs of a document row and an item in each size partition, from 2 ** part shingles on."""
     sets = staged(item_sets(items, size), "item-sets")
-    rows = sets.count()
-    widths = sorted(r[0] for r in sets.select("width").distinct().collect())  # at most ``size`` of them
-    sketch = sketches(sets, threshold)
-    text = docs.select(F.col("doc_id").alias(DOC), words(F.col("text")).alias("w"))
-    found = None
-    for width in widths:
-        probe = text.select(DOC, F.explode(shingles(F.col("w"), width)).alias("hash"))
-        hit = probe.join(_small(sketch.where(F.col("width") == width).select("hash", "key"), rows), "hash").select(DOC, "key")
-        found = hit if found is None else found.union(hit)
+    found = _found(docs, sets, threshold)
     if found is None:
-        return docs.select("doc_id").limit(0).select("doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("shared"), F.lit(0).alias("item_shingles"), F.lit(0.0).alias("containment"))
-    pairs = staged(found.distinct(), "candidate-pairs")
-    whole = sets.groupBy("key", ITEM, "width", "m").agg(F.collect_set("hash").alias("s"))
-    sought = pairs.join(_small(whole, rows), "key").groupBy(DOC).agg(F.collect_set(F.struct(ITEM, "width", "m", "s")).alias("items"))
-    again = docs.select(F.col("doc_id").alias("__again"), F.col("text")).join(sought, F.col("__again").eqNullSafe(F.col(DOC)))
-    held = again.select(DOC, "items", words(F.col("text")).alias("w")).select(DOC, "items", *[shingles(F.col("w"), k).alias(f"s{k}") for k in widths])
-    shared = F.coalesce(*[F.when(F.col("i.width") == k, F.size(F.array_intersect("i.s", f"s{k}"))) for k in widths])
-    checked = held.select(DOC, F.explode("items").alias("i"), *[f"s{k}" for k in widths]).select(DOC, F.col(f"i.{ITEM}").alias("item_id"), F.col("i.m").alias("item_shingles"), shared.alias("shared"))
-    checked = checked.where(F.col("shared") >= F.lit(threshold) * F.col("item_shingles") - F.lit(1e-9))
-    best = checked.groupBy(DOC, "item_id").agg(F.max(F.struct((F.col("shared") / F.col("item_shingles")).alias("containment"), "shared", "item_shingles")).alias("b"))
-    return best.select(F.col(DOC).alias("doc_id"), "item_id", F.col("b.shared").cast("long").alias("shared"), F.col("b.item_shingles").cast("long").alias("item_shingles"), F.col("b.containment").alias("containment"))
+        return sets.sparkSession.createDataFrame([], "part int, smallest long, candidates long, verified long")
+    parts = small(sets.select("key", "part").distinct(), sets.count(), BROADCAST_ROWS)
+    told = found[0].join(parts, "key").groupBy("part").agg(F.count(F.lit(1)).alias("candidates"))
+    good = found[1].groupBy("part").agg(F.count(F.lit(1)).alias("verified"))
+    return told.join(good, "part", "left").select("part", F.pow(F.lit(2), F.col("part")).cast("long").alias("smallest"), "candidates", F.coalesce("verified", F.lit(0)).alias("verified"))
 
 
 def clean(docs: DataFrame, items: DataFrame, size: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """docs without those that hold an item."""
-    bad = leaks(docs, items, size, threshold).select(F.col("doc_id").alias(DOC)).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(DOC)), "left_anti")
+    bad = staged(leaks(docs, items, size, threshold).select(F.col("doc_id").alias(DOC)).distinct(), "leaking")
+    return docs.join(small(bad, bad.count(), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col(DOC)), "left_anti")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
