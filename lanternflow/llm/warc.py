@@ -1,55 +1,86 @@
 """WARC archives with revisit resolution.
 
-Headers (payload digest, page_id) are shuffled by digest and reduced to the smallest
-page_id of each digest that occurs more than once; pages are joined to that, and each is
-written as a ``response`` or as a ``revisit`` that refers to the original response.  Every
-record is a gzip member of its own with fresh headers: a new record id, the digest, the
-length, a fixed date.  Archives are written under the shared folder, at most
-``file_bytes`` of payload each, and read back from there.
-
-A hot payload (one digest with a third of all pages) meets one row of the reduced table;
-the join's large side can be split among tasks, and the reduction combines before it
-shuffles.
+Where pages are read, payloads are spooled to the shared folder, compressed, and only their
+headers go on: page_id, url, payload digest, length and the place in the spool.  Headers
+are shuffled by digest and reduced to the smallest page_id of each digest that occurs more
+than once; each header is joined to that, and becomes a ``response`` or a ``revisit`` that
+refers to the original response.  Resolved headers, ranged by spool and place, are written
+with fresh headers of their own: a new record id, the digest, the length, a fixed date; a
+response takes its payload from the spool, a revisit none.  So no payload is ever shuffled,
+whatever the number of revisits.  Every record is a gzip member.  Archives hold at most
+``file_bytes`` of payload each; a task writes about ``task_bytes`` of spool.
+
+A hot payload (one digest with a third of all pages) meets its row of the reduced table
+where its headers are (``join_hot_apart``), and the reduction combines before it shuffles.
 
 Cases: a null html is the empty payload; payloads smaller than ``min_bytes`` are all
 responses; rows that repeat the smallest page_id of a payload are responses too, and so
 are rows without page_id (nothing can refer to them); a null url leaves its header out;
-line ends in a url are escaped; an empty table gives no archive; extra columns are dropped.
+line ends in a url are escaped; an archive that ends inside a record raises EOFError when
+it is read; an empty table gives no archive; extra columns are dropped.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import opened, read_table, small_batches, staged, workspace, written_once
+from lanternflow.llm._shared import _in_store, join_hot_apart, opened, read_table, staged, workspace, written_once
 
 #: Fixed values of the formats.
-BASE32_OF_SPARK = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def base32_sha1(data: Column) -> Column:
-    """Bare upper-case base32 SHA-1: forty bits (ten hex digits, eight base32 digits) at a time."""
-    digits = F.sha1(data)
-    groups = [F.lpad(F.conv(F.substring(digits, 10 * k + 1, 10), 16, 32), 8, "0") for k in range(4)]
-    return F.translate(F.concat(*groups), *BASE32_OF_SPARK)
+def base32_sha1(payload: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def resolved(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, url, html, digest, bytes, refers_to (null for responses)."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    rows = rows.withColumns({"digest": base32_sha1(F.col("html").cast("binary")), "bytes": F.octet_length("html").cast("long")})
-    originals = rows.where((F.col("bytes") >= min_bytes) & F.col("page_id").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "original")
+HEADERS = "page_id long, url string, digest string, bytes long, spool string, at long, length long"
+
+
+def _spooled(folder: str):
+    """Arrow batches of (page_id, url, html) to HEADERS; payloads to a file of the task's own attempt."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uri, at, out = f"{folder}/{uuid.uuid4().hex}.spool", 0, None
+        for batch in batches:
+            if out is None:
+                store, path = opened(uri)
+                store.create_dir(os.path.dirname(path), recursive=True)
+                out = store.open_output_stream(path)
+            digest, size, place, length = [], [], [], []
+            for html in batch.column(2):
+                payload = html.as_buffer().to_pybytes()
+                digest.append(base32_sha1(payload))
+                size.append(len(payload))
+                data = zlib.compress(payload, 1)
+                out.write(data)
+                place.append(at)
+                length.append(len(data))
+                at += len(data)
+            columns = [pa.array(digest, pa.string()), pa.array(size, pa.int64()), pa.array([uri] * len(size), pa.string()), pa.array(place, pa.int64()), pa.array(length, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["page_id", "url", "digest", "bytes", "spool", "at", "length"])
+        if out is not None:
+            out.close()
+
+    return run
+
+
+def resolved(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """HEADERS with refers_to, null for responses."""
+    originals = headers.where((F.col("bytes") >= min_bytes) & F.col("page_id").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    originals = staged(originals, "originals")
     refers = F.when((F.col("page_id") != F.col("original")) & (F.col("bytes") >= min_bytes), F.col("original"))
-    return rows.join(originals, "digest", "left").select("page_id", "url", "html", "digest", "bytes", refers.alias("refers_to"))
+    return join_hot_apart(headers, originals, "digest", "n", headers.count(), "left").select(*headers.columns, refers.alias("refers_to"))
 
 
 def record_id(page_id: int | None, digest: str) -> str:
@@ -76,32 +107,44 @@ def _archives(folder: str, file_bytes: int, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        at, out = TaskContext.get().partitionId(), []
+        task, out, held, uri = TaskContext.get().partitionId(), [], None, None
 
-        def rows():
-            for batch in batches:
-                yield from zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), *(batch.column(k).to_pylist() for k in (3, 4, 5)))
+        def payload(spool: str, at: int, length: int) -> bytes:
+            nonlocal held, uri
+            if spool != uri:
+                store, path = opened(spool)
+                held, uri = store.open_input_file(path), spool
+            held.seek(at)
+            return zlib.decompress(held.read(length))
 
-        todo, row = rows(), None
+        todo = (row for batch in batches for row in zip(*(batch.column(k).to_pylist() for k in range(8))))
         row = next(todo, None)
         while row is not None:
-            uri, held, n = f"{folder}/{at:06d}-{len(out):05d}.warc.gz", 0, 0
-            with written_once(uri) as f:
-                while row is not None and (not n or held < file_bytes):
-                    page_id, url, html, digest, size, refers_to = row
+            archive, size, n = f"{folder}/{task:06d}-{len(out):05d}.warc.gz", 0, 0
+            with written_once(archive) as f:
+                while row is not None and (not n or size < file_bytes):
+                    page_id, url, digest, bytes_, spool, at, length, refers_to = row
                     gz = zlib.compressobj(1, wbits=31)
-                    f.write(gz.compress(record(page_id, url, b"" if refers_to is not None else html.as_buffer().to_pybytes(), digest, size, refers_to, date)) + gz.flush())
-                    held, n, row = held + size, n + 1, next(todo, None)
-            out.append((uri, n))
+                    f.write(gz.compress(record(page_id, url, b"" if refers_to is not None else payload(spool, at, length), digest, bytes_, refers_to, date)) + gz.flush())
+                    size, n, row = size + bytes_, n + 1, next(todo, None)
+            out.append((archive, n))
         yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in out], pa.string()), pa.array([n for _, n in out], pa.int64())], names=["uri", "records"])
 
     return run
 
 
-def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: int = 256 << 20, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: int = 256 << 20, date: str = "2024-01-01T00:00:00Z", task_bytes: int = 64 << 20) -> DataFrame:
     """Write deduplicated archives of pages (page_id, url, html) under folder; returns their manifest: uri, records."""
-    small_batches(pages.sparkSession, 1000)
-    return staged(resolved(pages, min_bytes).mapInArrow(_archives(folder, file_bytes, date), "uri string, records long"), "warc-manifest")
+    spark, spool = pages.sparkSession, workspace(pages.sparkSession, "spool")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    headers = staged(rows.mapInArrow(_spooled(spool), HEADERS), "warc-headers")
+    total = headers.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(-(-total // task_bytes), min(headers.count(), spark.sparkContext.defaultParallelism), 1)
+    ordered = resolved(headers, min_bytes).repartitionByRange(tasks, "spool", "at").sortWithinPartitions("spool", "at")
+    manifest = staged(ordered.mapInArrow(_archives(folder, file_bytes, date), "uri string, records long"), "warc-manifest")
+    store, path = _in_store(spark, spool)
+    store.delete(path, True)
+    return manifest
 
 
 class _Unzipped:
@@ -170,7 +213,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for h, block in records(raw):
                     if h["warc-type"] == "response":
                         payload = block.split(b"\r\n\r\n", 1)[1]
-                        size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+                        size, digest = len(payload), base32_sha1(payload)
                     else:
                         payload, size, digest = None, int(h["x-payload-length"]), h["warc-payload-digest"].removeprefix("sha1:")
                     rows.append((number(h.get("x-page-id")), h.get("warc-target-uri"), size, digest, h["warc-type"], number(h.get("x-refers-to-page")), payload))
@@ -195,7 +238,7 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_warc_revisits": op8_warc_revisits}
-_digits = ", ".join(f"substr('{BASE32_OF_SPARK[1]}', cast((cast('0x' || substr(h, {10 * g + 1}, 10) as bigint) >> {35 - 5 * j}) & 31 as integer) + 1, 1)" for g in range(4) for j in range(8))
+_digits = ", ".join(f"substr('{BASE32}', cast((cast('0x' || substr(h, {10 * g + 1}, 10) as bigint) >> {35 - 5 * j}) & 31 as integer) + 1, 1)" for g in range(4) for j in range(8))
 SQL = {
     "op8_warc_revisits": f"""
 with p as (select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as h from pages),
