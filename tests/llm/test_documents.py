@@ -42,7 +42,48 @@ def test_mixing(docs, rows, none):
     assert mixing.mix_report(none).count() == 0 and mixing.mix(none).count() == 0
 
 
+def plain_targets(sizes, weights, share=1.5, most=2.0):
+    """Round by round, as the contract says it."""
+    out, open_, left = [0.0] * len(sizes), set(range(len(sizes))), share * sum(sizes)
+    while open_:
+        part = {k: left * weights[k] / sum(weights[j] for j in open_) for k in open_}
+        full = {k for k in open_ if part[k] > most * sizes[k]}
+        if not full:
+            return [part.get(k, out[k]) for k in range(len(sizes))]
+        for k in full:
+            out[k] = most * sizes[k]
+            left -= out[k]
+        open_ -= full
+    return out
+
+
+def test_mixing_by_hand(docs, frame):
+    """Copies recomputed: prefix sums of the rate, one offset a source, a copy for each whole number passed."""
+    rng = np.random.default_rng(7)
+    more = frame([(1000 + k, "w " * int(rng.integers(0, 60)), "aa", f"host{k % 9}") for k in range(400)])
+    df = docs.union(more)
+    offset = F.pmod(F.xxhash64(F.lit(20), F.coalesce("source", F.lit("\0null"))), F.lit(mixing.GRAIN)) / mixing.GRAIN
+    rows = df.select("doc_id", "source", "text", F.xxhash64("doc_id", "text").alias("h"), offset.alias("o")).collect()
+    of = defaultdict(list)
+    for r in rows:
+        of[r.source].append((len(SPACE.findall(r.text or "")), r.h, r.doc_id, r.o))
+    names = sorted(of, key=order)
+    size = [sum(x[0] for x in of[n]) for n in names]
+    want = Counter()
+    for n, s, t in zip(names, size, plain_targets(size, [(3, 1, 2)[k % 3] for k in range(len(names))])):
+        rate = t / s if s else 0.0
+        for k, (w, _, d, o) in enumerate(sorted(of[n], key=lambda x: x[:2])):
+            copies = math.floor(o + rate * (k + 1)) - math.floor(o + rate * k)
+            want[d, w, s, round(t, 6), copies * w] += 1
+    assert Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in mixing.mix_report(df).collect()) == want
+
+
 def test_targets_refill():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        n = int(rng.integers(1, 12))
+        sizes, weights = rng.integers(0, 1000, n).tolist(), rng.choice([1.0, 2.0, 3.0, 0.5], n).tolist()
+        assert mixing.targets(sizes, weights) == pytest.approx(plain_targets(sizes, weights))
     assert mixing.targets([10, 100, 100], [3, 1, 2]) == [20, pytest.approx(295 / 3), pytest.approx(590 / 3)]
     assert mixing.targets([0, 0], [1, 1]) == [0, 0] and mixing.targets([], []) == []
 
@@ -68,14 +109,52 @@ def test_token_files_round_trip(spark, docs, rows, none):
     uri = manifest.orderBy("range", "part").first()["uri"]
     f = token_files.TokenFile(uri)
     assert np.concatenate([f.ids(k) for k in range(f.n)]).tolist() == f.slice(0, f.n_ids).tolist()
+    assert [f.doc_ids(k, 1)[0] for k in range(f.n)] == f.doc_ids(0, f.n) == [r.doc_id for r in got][: f.n]
     f.close()
     assert token_files.read_token_files(token_files.write_token_files(none, workspace(spark, "t"), path)).count() == 0
 
 
-@pytest.mark.parametrize("values", [[], [0], [5], [1, 1, 1, 9, 1_000_000], list(range(0, 5000, 3)), [0] * 600 + [7]])
+@pytest.mark.parametrize("values", [[], [0], [5], [1, 1, 1, 9, 1_000_000], list(range(0, 5000, 3)), [0] * 600 + [7], [3, 1 << 62, (1 << 64) - 1], [k << 40 for k in range(40_000)]])
 def test_elias_fano(values):
-    ef = token_files.EliasFano.of(np.array(values, np.int64), max(values, default=0))
-    assert ef.all().tolist() == values and [ef.select(k) for k in range(len(values))] == values
+    import io
+
+    ef = token_files.EliasFano.loaded(io.BytesIO(token_files.EliasFano.of(np.array(values, np.uint64)).dumped()))
+    assert ef.select(0, len(values)).tolist() == values
+    for k in range(0, len(values), max(1, len(values) // 700)):
+        assert ef.select(k).tolist() == values[k : k + 1] and ef.select(k, len(values[k : k + 300])).tolist() == values[k : k + 300]
+    assert len(ef.dumped()) < 64 + len(values) * (3 + max(values, default=0).bit_length()) / 8 + 8 * (len(values) // 256 + 1)
+
+
+def test_token_files_of_doc_ids_of_all_sizes(tmp_path):
+    doc_ids = [None, None, -(1 << 63), -5, -5, 0, (1 << 63) - 1]
+    data = token_files.encoded(doc_ids, np.array([1, 2, 0, 3, 1, 1, 2]), np.arange(10, dtype="<u2").tobytes(), 2)
+    path = f"{tmp_path}/a.lfef"
+    with open(path, "wb") as f:
+        f.write(data)
+    f = token_files.TokenFile(f"file://{path}")
+    assert f.doc_ids(0, 7) == doc_ids and f.doc_ids(1, 3) == doc_ids[1:4] and f.bounds(0, 7).tolist() == [0, 1, 3, 3, 6, 7, 8, 10]
+    assert [f.ids(k).tolist() for k in (1, 3, 6)] == [[1, 2], [3, 4, 5], [8, 9]]
+    f.close()
+
+
+def test_tokenizers_of_other_kinds(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    whole = Tokenizer(models.WordLevel({"a b": 0, "a": 1, "b": 2, "?": 3}, unk_token="?"))
+    whole.save(f"{tmp_path}/whole.json")
+    ids = token_files.WordIds(f"{tmp_path}/whole.json", 1)
+    assert not ids.by_word
+    import pyarrow as pa
+
+    part = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b", None])], names=["doc_id", "text"])
+    count, raw = token_files._encoded(part, ids, b"\x09", 1)
+    assert count.tolist() == [2, 1 + len(whole.encode("").ids)] and raw[:2] == b"\x00\x09"
+    words = Tokenizer(models.WordLevel({f"w{k}": k for k in range(300)} | {"?": 300}, unk_token="?"))
+    words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    words.save(f"{tmp_path}/words.json")
+    assert token_files.WordIds(f"{tmp_path}/words.json", 2).by_word
+    with pytest.raises(ValueError):
+        token_files.WordIds(f"{tmp_path}/words.json", 1)
 
 
 def test_words_by_units_are_words_as_a_whole():
@@ -158,6 +237,60 @@ def test_language_id(docs, rows, none, frame):
     assert language_id.identified(docs, nothing).where("__lang_pred <> 'und'").count() == 0 and language_id.identified(none, model).count() == 0
 
 
+def plain_language_id(rows, dims=256, seed=7):
+    """(doc_id, text) -> (lang, score), by dictionaries of trigrams; rows are learned from if they are not held out."""
+    encoder = language_id.Encoder(dims, seed=seed)
+
+    def vector(text):
+        signs = [c.lower() if c.isalpha() else " " for c in " " + (text or "") + " "]
+        signs = [x for c in signs for x in c]
+        out = np.zeros(dims)
+        for (a, b, c), n in Counter(zip(signs, signs[1:], signs[2:])).items():
+            if b != " ":
+                v = [encoder._vector(0 if x == " " else ord(x)) for x in (a, b, c)]
+                out += n * np.roll(v[0], 2) * np.roll(v[1], 1) * v[2]
+        return out
+
+    unit = lambda v: v / np.linalg.norm(v) if v.any() else v
+    sums = {}
+    for d, t, lang in sorted({r[:3] for r in rows if r[0] is not None and r[2] is not None}, key=str):
+        if zlib.crc32(str(d).encode()) % 5:
+            sums[lang] = sums.get(lang, 0) + unit(vector(t))
+    names = sorted(sums)
+    p = np.array([unit(sums[n]) for n in names])
+    p = np.array([unit(x) for x in p - 0.5 * p.mean(0)])
+    out = {}
+    for d, t, *_ in rows:
+        v = unit(vector(t))
+        out[d, t] = (names[int((p @ v).argmax())], max(0.0, float((p @ v).max()))) if v.any() else ("und", 0.0)
+    return out
+
+
+def test_language_id_by_hand(docs, rows):
+    rows = [r for r in rows if len(r[1] or "") < 5000]
+    want = plain_language_id(rows)
+    short = docs.where("text is null or length(text) < 5000")
+    got = language_id.identified(short, language_id.fit(short, dims=256), dims=256).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        lang, score = want[r.doc_id, r.text]
+        assert r["__lang_pred"] == lang and r["__lang_score"] == pytest.approx(score, abs=1e-3)
+
+
+def test_language_id_of_repeated_rows(frame):
+    from llm_words import sentence
+    import random
+
+    rng = random.Random(10)
+    ids = [k for k in range(100) if zlib.crc32(str(k).encode()) % 5]
+    many = [(ids[k], sentence(rng, "nord"), "nord", "s") for k in range(2)] * 3000
+    few = [(ids[k], sentence(rng, "sud"), "sud", "s") for k in range(2, 22)]
+    one = [(ids[30], sentence(rng, "ost"), "ost", "s")]
+    rows = language_id.training_rows(frame(many + few + one), per_lang=10).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in rows} == {"nord": 2, "sud": 10, "ost": 1}
+    assert language_id.fit(frame(many + few + one), per_lang=10)[0] == ["nord", "ost", "sud"]
+
+
 def test_language_id_learns(frame):
     import random
 
@@ -249,6 +382,8 @@ def test_decontamination(spark, frame, rows, docs, none):
                 want[d, i] = (hit, len(g))
     assert got == want and (204, 4) in got and (205, 4) not in got and (202, 1) not in got
     kept = decontamination.clean(df, bench)
+    parts = {r.smallest: (r.candidates, r.verified) for r in decontamination.candidates(df, bench).collect()}
+    assert sum(v for _, v in parts.values()) >= len(want) and all(v <= c for c, v in parts.values()) and {1, 4, 16} <= set(parts)
     assert kept.columns == df.columns
     bad = {d for d, _ in want}
     assert Counter(r.doc_id for r in kept.select("doc_id").collect()) == Counter(d for d, _ in [*more, *((r[0], r[1]) for r in rows)] if d not in bad)
