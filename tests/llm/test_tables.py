@@ -71,40 +71,71 @@ def test_search(spark):
     assert topk_search.search(df.limit(0), df.where("vec_id = 0")).count() == 0 and topk_search.search(df, df.limit(0)).count() == 0
 
 
-def plain_filter(rows, depth=4, alpha=10, reject=0.8):
-    """The method in plain Python."""
-    parts = []
+def plain_filter(rows, labels=None, rules=url_filter.RULES, least=5, deviations=1.96, alpha=2, reject=0.8):
+    """The method in plain Python, node by node: (page_id, host, path, rule, verdict, template)."""
+    pages = []
     for i, url in rows:
         m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
         host, path = (m[1].translate(str.maketrans(url_filter.UPPER, url_filter.LOWER)), m[2]) if m else ("", "")
-        fits = [(len(h + p), h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-        segments = [re.sub("[0-9]+", "<n>", s) for s in path.split("/") if s]
-        parts.append([i, host, path, max(fits, default=(0, None, None))[1:], segments[:depth] + [""] * (depth - len(segments)) + ["**" if len(segments) > depth else ""], []])
-    for k in range(depth):
-        child, parent = defaultdict(lambda: [0] * 5), defaultdict(lambda: [0] * 5)
-        for _, host, _, (_, v), s, g in parts:
-            tally = [1, v is not None, v == "block", s[k + 1] == "", "<n>" in s[k + 1]]
-            for c in (child[host, tuple(g), s[k]], parent[host, tuple(g)]):
-                c[:] = map(sum, zip(c, tally))
-        for p in parts:
-            host, s, g = p[1], p[4], p[5]
-            (n, lab, b, e, v), (pn, pl, pb, pe, pv) = child[host, tuple(g), s[k]], parent[host, tuple(g)]
-            apart = abs(e / n - pe / pn) + abs(v / n - pv / pn) + abs((n - e - v) / n - (pn - pe - pv) / pn)
-            like = apart <= 2 * (0.1 + 1 / math.sqrt(n)) and (not lab or not pl or abs(b / lab - pb / pl) <= 0.1 + 1 / math.sqrt(lab))
-            p.append("" if not s[k] else "*" if n < 5 or n < 0.05 * pn else s[k] if "<n>" in s[k] else "+" if like else s[k])
-        for p in parts:
-            p[5] = [*p[5], p.pop()]
-    keys = [lambda p: (), lambda p: p[1], lambda p: (p[1], *p[5], p[4][-1])]
+        fits = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        segments = [re.sub("[0-9]+", "<n>", s) for s in path.replace("*", "%2A").replace("+", "%2B").split("/") if s]
+        segments = [s for k, s in enumerate(segments) if not k or s != segments[k - 1] or "<n>" in s]
+        rule, verdict = max(fits, default=(0, None, None))[1:]
+        bad = labels.get(i) if labels is not None else None if verdict is None else verdict == "block"
+        pages.append({"i": i, "host": host, "path": path, "rule": rule, "verdict": verdict, "bad": bad, "rest": segments, "g": ""})
+    nodes = defaultdict(list)
+    for p in pages:
+        nodes[p["host"], ""].append(p)
+    while nodes:
+        below = defaultdict(list)
+        for (host, g), held in nodes.items():
+            branches = defaultdict(list)
+            for p in held:
+                if p["rest"]:
+                    branches[p["rest"].pop(0)].append(p)
+            n, name, literal = sum(map(len, branches.values())), {}, defaultdict(list)
+            for s, of in branches.items():
+                if n < least:
+                    name[s] = "**"
+                elif len(of) < least or len(of) ** 2 < n:
+                    name[s] = "*"
+                elif "<n>" in s:
+                    name[s] = s
+                else:
+                    e, v = sum(not p["rest"] for p in of), sum(bool(p["rest"]) and "<n>" in p["rest"][0] for p in of)
+                    w = len(of) - e - v
+                    told = [p["bad"] for p in of if p["bad"] is not None]
+                    literal["e" if e >= v and e >= w else "v" if v >= w else "w", bool(told)].append((sum(told) / len(told) if told else 0.0, s, sum(told), len(told)))
+            for (_, told), siblings in literal.items():
+                runs = []
+                for x in sorted(siblings):
+                    if runs and told:
+                        y = runs[-1][-1]
+                        p = (x[2] + y[2]) / (x[3] + y[3])
+                    if runs and (not told or x[0] - y[0] <= deviations * math.sqrt(p * (1 - p) * (1 / x[3] + 1 / y[3]))):
+                        runs[-1].append(x)
+                    else:
+                        runs.append([x])
+                for run in runs:
+                    name |= {x[1]: x[1] if len(run) == 1 else min(y[1] for y in run) + "+" for x in run}
+            for s, of in branches.items():
+                for p in of:
+                    p["g"] = f"{g}/{name[s]}"
+                    if name[s] == "**":
+                        p["rest"] = []
+                    below[host, p["g"]].append(p)
+        nodes = {k: v for k, v in below.items() if any(p["rest"] for p in v)}
+    keys = [lambda p: (), lambda p: p["host"], lambda p: (p["host"], p["g"])]
     counts = [defaultdict(lambda: [0, 0]) for _ in keys]
-    for p in parts:
+    for p in pages:
         for c, key in zip(counts, keys):
-            c[key(p)][0] += p[3][1] is not None
-            c[key(p)][1] += p[3][1] == "block"
+            c[key(p)][0] += p["bad"] is not None
+            c[key(p)][1] += p["bad"] is True
     out = []
-    for p in parts:
+    for p in pages:
         (al, ab), (hl, hb), (ml, mb) = (c[key(p)] for c, key in zip(counts, keys))
         purity = (mb + alpha * (hb + alpha * (ab + 1) / (al + 2)) / (hl + alpha)) / (ml + alpha)
-        out.append((p[0], p[1], p[2], p[3][0], p[3][1] or ("block" if purity >= reject else "allow")))
+        out.append((p["i"], p["host"], p["path"], p["rule"], p["verdict"] or ("block" if purity >= reject else "allow"), p["g"] or "/"))
     return out
 
 
@@ -112,7 +143,9 @@ def test_url_filter(spark):
     rng = random.Random(6)
     rows = [(k, f"http://h{rng.randint(0, 2)}.example.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['en', 'de', 'fr', 'es'])}/{rng.choice(['item', 'a', str(k)])}{rng.choice(['', '/', '/x/y/z', '?a=/de/'])}") for k in range(400)]
     rows += [(500, None), (501, "no url"), (502, ""), (503, "HTTP://ExAmple.ORG/es/x"), (504, "http://org/"), (505, "http://com"), (506, "http://com?x=://net/"), (507, "//x://y.example.org/en/1#q"), (508, "http://notexample.org/es/x"), (None, "http://a.com/de/1"), (509, "http://É.com/de/"), (503, "HTTP://ExAmple.ORG/es/x"), (510, "http://x.com/" + "a/" * 5000)]
-    got = url_filter.filtered(pages(spark, [(i, u, "") for i, u in rows])).select("page_id", "host", "path", "rule", "verdict").collect()
+    rows += [(600 + k, f"http://deep.net/{rng.choice(['a', 'b'])}/x/x/x/{rng.choice(['c', 'd'])}/{'ef'[k % 2]}/g/h/{k % 3}/i/j*/k+/") for k in range(200)]
+    rows += [(900 + k, f"http://deep.com/{'de' if k % 5 else 'fr'}/{k}/{k}/{rng.choice(['x', 'y'])}") for k in range(60)] + [(1000 + k, f"http://deep.com/{rng.choice(['en', 'es', 'it', 'de'])}") for k in range(40)]
+    got = url_filter.filtered(pages(spark, [(i, u, "") for i, u in rows])).select("page_id", "host", "path", "rule", "verdict", "template").collect()
     assert Counter(map(tuple, got)) == Counter(plain_filter(rows))
     assert url_filter.filtered(pages(spark, [(1, "x", "")]).limit(0)).count() == 0
 
@@ -124,6 +157,36 @@ def test_url_filter_rejects_pure_templates(spark):
     assert {(r.template, r.verdict) for r in got} == {("/bad/<n>", "block"), ("/good/<n>", "allow")}
 
 
+def test_url_filter_merges_branches_that_are_alike(spark):
+    """Two bad branches of a few per cent among many good ones, and one that differs only from the sixth segment on."""
+    good = [f"good{c}" for c in "abcdefgh"]
+    rows, bad = [], {}
+    for k in range(4000):
+        name = ("spam", "scam")[k // 25 % 2] if k % 25 == 0 else good[k % 8]
+        rows.append((k, f"http://h.net/{name}/{k}"))
+        bad[k] = name in ("spam", "scam")
+    for k in range(4000, 4400):
+        rows.append((k, f"http://deep.net/a/b/c/d/e/{'bad' if k % 2 else 'good'}/{k}"))
+        bad[k] = bool(k % 2)
+    told = {k: v for k, v in bad.items() if k % 3}
+    labels = spark.createDataFrame(list(told.items()), "page_id long, bad boolean")
+    got = {r.page_id: (r.template, r.verdict) for r in url_filter.filtered(pages(spark, [(*r, "") for r in rows]), rules=(), labels=labels).collect()}
+    assert got == {i: (g, v) for i, _, _, _, v, g in plain_filter(rows, told, ())}
+    assert {t for k, (t, _) in got.items() if k < 4000} == {"/gooda+/<n>", "/scam+/<n>"}
+    assert all((v == "block") == bad[k] for k, (_, v) in got.items())
+
+
+def test_url_filter_on_labels_held_out(spark):
+    """Verdicts by rule of four fifths of the pages are the labels; on the rest the templates reject no good page, and a part of the bad ones."""
+    p = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    by = url_filter.by_rules(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url")))
+    ruled = p.select("page_id", (by["verdict"] == "block").alias("bad")).where("bad is not null")
+    got = url_filter.filtered(p, rules=(), labels=ruled.where("page_id % 5 <> 0")).join(ruled.where("page_id % 5 = 0"), "page_id")
+    hit = {(r.bad, r.verdict): r["count"] for r in got.groupBy("bad", "verdict").count().collect()}
+    assert hit.get((False, "block"), 0) <= 0.1 * (hit.get((True, "block"), 0) + hit.get((False, "block"), 0))
+    assert hit[True, "block"] >= 0.25 * (hit[True, "block"] + hit.get((True, "allow"), 0))
+
+
 def test_pipeline(spark, docs, rows, tmp_path):
     import corpus_pipeline as p
 
