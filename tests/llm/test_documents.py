@@ -346,18 +346,49 @@ def test_secrets(frame, docs, none):
     for k, t in enumerate(texts):
         want = plain_secrets(t or "")
         assert by[1000 + k].base_sha256 == hashlib.sha256(want.encode()).hexdigest() and by[1000 + k].spans.startswith(want), t
-    assert secrets.fit(none) == [] and secrets.scanned(none, []).count() == 0
+    assert secrets.fit(none).automata == [] and secrets.scanned(none, secrets.fit(none)).count() == 0
 
 
 def test_secret_formats_are_learned():
     rng = np.random.default_rng(2)
     keys = ["zz_" + "".join(rng.choice(list("0123456789"), 8)) + "-" + "".join(rng.choice(list("GHJK"), 16)) for _ in range(200)]
     m = secrets.Automaton(keys[:150])
-    assert sum(map(m.accepts, keys[150:])) >= 48
-    assert not any(map(m.accepts, ["internationalisation.of.everything", "zz_1234", "GHJK" * 8, "0" * 28, "zz_12345678-GHJKGHJKGHJKGHJ"]))
+    assert m.prefix(keys[0]) == "zz_" and sum(map(m.accepts, keys[150:])) >= 48
+    assert not any(map(m.accepts, ["internationalisation.of.everything", "zz_1234", "GHJK" * 8, "0" * 28, "zz_12345678-GHJKGHJKGHJKGHJ", keys[0].replace("zz_", "zy_")]))
     spans, runs, values = secrets.base_spans("é token=abcdef")
-    assert spans == [(2, 0, 14)] and values == [("assign", "abcdef")] and runs == []
-    assert len(secrets.Automaton(["ab" * 5] * 50).visits) > 0
+    assert spans == [(2, 0, 14)] and values == [("assign", "abcdef")] and runs == [(2, 14)]
+    assert len(secrets.Automaton(["ab" * 5] * 50).visits) > 0 and secrets.Automaton([]).plain_bits("abc") < 0
+    assert list(secrets.left_over([(0, 20), (30, 40)], [(8, 0, 10), (9, 2, 12), (35, 1, 60)])) == [(0, 8), (12, 20)]
+
+
+def test_bare_credentials_are_found_and_clean_texts_left_alone(spark, frame):
+    """In documents of the tables: labelled by their context in some, in others bare, or glued to names and paths."""
+    import random
+
+    rng = random.Random(12)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    low, high, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    formats = [lambda: "ghx_" + some(low + high + digits, 36), lambda: "sk-live-" + some(low + digits, 24), lambda: some(digits, 4) + "." + some(high, 12)]
+    forms = ["{} ", "see https://h.net/a/{} now", "?sig={}", "auth={}", "({}).", "x {}, y"]
+    clean_bits = ["2024-01-15", "555-7713", "97.51.17.173", "9807915762804490", "https://www.example.com/some/path.html", "INTERNATIONALES", "e-mail@host.example.org", "v1.2.3", "und.34", "snake_case_name", "B-52", "COVID19", "0x1F", "1,234.56", "first/second/third"]
+    texts, planted = [], {}
+    for k, r in enumerate(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()):
+        text = r.text or ""
+        if k % 10 == 0:
+            text += f' token = "{formats[k // 10 % 3]()}" '
+        elif k % 10 == 1:
+            secret = formats[k // 10 % 3]()
+            before, after = f"{text} é {forms[k // 30 % len(forms)]} z".split("{}")
+            text = before + secret + after
+            planted[k] = (len(before), len(before) + len(secret))
+        else:
+            text += " " + " ".join(rng.sample(clean_bits, 4))
+        texts.append(text)
+    df = frame([(k, t, "aa", "s") for k, t in enumerate(texts)])
+    got = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("grammar")] for r in secrets.scanned(df, secrets.fit(df)).collect()}
+    hit = sum(span in got[k] for k, span in planted.items())
+    wrong = [texts[k][a:b] for k in got for a, b in got[k] if (a, b) != planted.get(k)]
+    assert len(planted) == 100 and hit >= 90 and len(wrong) <= 2, (hit, len(wrong), wrong[:9], [texts[k][a:b] for k, (a, b) in planted.items() if (a, b) not in got[k]][:9])
 
 
 def grams(text, n):
