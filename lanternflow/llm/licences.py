@@ -1,23 +1,27 @@
 """Licence scans: normalised text against templates by Dice coefficient over word bigrams.
 
-A text's segments are its lines and its paragraphs (parted by blank lines; the whole text
-where there are none, if it has more than one line).  A segment is normalised to lower-case
-words, and its set of word bigrams is compared with a template's: Dice is twice the shared
-ones over the sum of both sizes.  A score of t or more needs sizes within a factor of
-(2 - t) / t, so templates are looked up by a segment's size, and those out of bounds are
-never compared.  The best template of a segment counts, if it reaches ``threshold``.
+A text's segments are its lines, its paragraphs (parted by blank lines, of more than one
+line) and the text as a whole.  A segment is normalised to lower-case words, and its set of
+word bigrams is compared with a template's: Dice is twice the shared ones over the sum of
+both sizes.  A score of t or more needs sizes within a factor of (2 - t) / t, so templates
+out of these bounds are never compared.  The best template of a segment counts, if it
+reaches ``threshold``.  Templates are short notices, and whole licences (``licence_texts``).
 
 What lies between segments that match is searched further, whatever its lines and
 paragraphs: windows of each template's own number of words that start at one of its
 bigrams (shorter at the end) are compared in the same way.  A window is a segment if it
 overlaps none that is better; of equals the last name, the longest and the first come first.
+Whole licences of more than ``LONG`` words have no windows: they are found as a text or as a
+paragraph, and elsewhere by their notices.
 
 A match shares so many bigrams with its template that it can't lack all of a few words
-(``anchors``); texts and segments without any of them are left out before all else.
+(``anchors``); texts and segments without any of them are left out before all else.  For
+whole licences the same words are asked for: a text that has none of them (license,
+software, copyright and the like) is no copy of one.
 
-All of it is DataFrame operations; the lookup by size is broadcast, its rows bounded by
-the templates.  Segments and windows are scored in the row that holds them, and only
-matches are shuffled.  Windows that match in one text are compared with those kept there,
+All of it is DataFrame operations; the templates are one constant of the plan, sent once.
+Texts with an anchor are staged.  Segments and windows are scored in the row that holds
+them, and only matches are shuffled.  Windows that match in one text are compared with those kept there,
 so a text of thousands of notices within lines takes longer than in proportion.
 
 Cases: null and empty texts and segments of fewer than two words match nothing; very long
@@ -31,15 +35,17 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import read_table
+from lanternflow.llm._shared import read_table, staged
 
-THRESHOLD = 0.8
+THRESHOLD, LONG = 0.8, 500
 #: Anchors are words of these only where a template has too few others.
-COMMON = frozenset("a all and any are as at be by can conditions following for free from further if in including is it may must no not of on or other out permitted possible project provided public purpose related rights shall source special specific terms that the their they this to under use used version warranty whether which with without work you your 0 1 2 3 4".split())
+COMMON = frozenset("a above all also an and any are as at be but by can conditions following for free from further if in including is it may must no not of on or other out permitted possible project provided public purpose related rights shall source special specific such terms that the their they this to under use used version warranty whether which with without work you your 0 1 2 3 4".split())
 #: Notices and headers of public licences.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -59,7 +65,7 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
-#: Further families, and whole texts of which TEMPLATES holds a part.  The SQL knows TEMPLATES only.
+#: Further families, and whole texts of which TEMPLATES holds a part.
 FAMILIES = (
     ("BSD-2-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
     ("BSD-3-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
@@ -74,8 +80,19 @@ FAMILIES = (
     ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
     ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("Unlicense", 'This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to https://unlicense.org'),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
 )
-ALL_TEMPLATES = (*TEMPLATES, *FAMILIES)
+
+
+def _whole_licences() -> tuple[tuple[str, str], ...]:
+    """The texts of licence_texts, named by their files."""
+    folder = files("lanternflow.llm") / "licence_texts"
+    return tuple((f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in sorted(folder.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt"))
+
+
+ALL_TEMPLATES = (*TEMPLATES, *FAMILIES, *_whole_licences())
 
 
 def normalised(text: Column) -> Column:
@@ -94,9 +111,14 @@ def least_shared(m: int, threshold: float) -> int:
     return math.ceil(threshold * (m + math.ceil(m * threshold / (2 - threshold) - 1e-9)) / 2 - 1e-9)
 
 
-def anchors(templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
-    """Words of which each match of a template has one: fewer of its bigrams are without than a match can lack."""
-    words = [re.findall(r"[^\W_]+", text.lower()) for _, text in templates]
+def _words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+@lru_cache(maxsize=8)
+def anchors(templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> tuple[str, ...]:
+    """Words of which each match of a short template has one: fewer of its bigrams are without than a match can lack."""
+    words = [w for _, text in templates if len(w := _words(text)) <= LONG]
     needs = [(p, len(p) - least_shared(len(p), threshold) + 1) for p in ({*zip(w, w[1:])} for w in words) if p]
 
     def lacking(chosen: list[str]) -> list[tuple[list[tuple[str, str]], int]]:
@@ -113,55 +135,82 @@ def anchors(templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
     for word in sorted(chosen, key=lambda w: (w not in COMMON, len(w), w)):
         if not lacking(rest := [w for w in chosen if w != word]):
             chosen = rest
-    return chosen
+    return tuple(chosen)
 
 
-def anchored(text: Column, words: list[str]) -> Column:
+def anchored(text: Column, words: tuple[str, ...]) -> Column:
     """Whether a lower-case text has one of the words."""
     return text.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(sorted(words))})(?![\p{{L}}\p{{N}}])")
 
 
-def lookup(spark: SparkSession, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """n -> templates that a segment of n bigrams can match."""
-    rows = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(text).alias("text")) for name, text in templates])
-    t = spark.range(1).select(F.explode(rows).alias("t")).select("t.name", F.array_compact(bigrams(normalised(F.col("t.text")))).alias("s"))
-    ratio = F.lit((2 - threshold) / threshold)
-    sizes = F.sequence(F.ceil(F.size("s") / ratio - 1e-9), F.floor(F.size("s") * ratio + 1e-9))
-    t = t.where(F.size("s") > 0).select(F.explode(sizes).alias("n"), F.struct("name", F.size("s").alias("m"), "s").alias("t"))
-    return t.groupBy(F.col("n").cast("int").alias("n")).agg(F.collect_list("t").alias("may"))
+def split_by_length(templates) -> tuple[tuple, tuple]:
+    """Templates with windows, and whole licences without."""
+    return tuple(t for t in templates if len(_words(t[1])) <= LONG), tuple(t for t in templates if len(_words(t[1])) > LONG)
+
+
+def known(templates, threshold: float = THRESHOLD) -> Column:
+    """The templates as one constant: name, words, m (bigrams), least (shared ones of a match), s (bigrams)."""
+    rows = [(name, w, len({*zip(w, w[1:])})) for name, text in templates if len(w := _words(text)) > 1]
+    return F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(w)).alias("words"), F.lit(m).alias("m"), F.lit(least_shared(m, threshold)).alias("least"), F.array_compact(bigrams(F.lit(" ".join(w)))).alias("s")) for name, w, m in rows])
+
+
+def best_match(s: Column, templates, threshold: float = THRESHOLD) -> Column:
+    """struct(score, name) of the best template for a set of bigrams, among those of a size that can match."""
+    ratio = (2 - threshold) / threshold
+    near = F.filter(known(templates, threshold), lambda t: (F.size(s) >= t["m"] / ratio - 1e-9) & (F.size(s) <= t["m"] * ratio + 1e-9))
+    return F.array_max(F.transform(near, lambda t: F.struct((F.lit(2.0) * F.size(F.array_intersect(t["s"], s)) / (t["m"] + F.size(s))).alias("score"), t["name"].alias("name"))))
 
 
-def segments(docs: DataFrame) -> DataFrame:
+def best_of_all(s: Column, templates, threshold: float = THRESHOLD) -> Column:
+    """The same, with whole licences for sets that are large enough."""
+    short, long = split_by_length(templates)
+    if not long:
+        return best_match(s, short, threshold)
+    least = min(len({*zip(w := _words(text), w[1:])}) for _, text in long) * threshold / (2 - threshold)
+    return F.array_max(F.array(best_match(s, short, threshold), F.when(F.size(s) >= least - 1e-9, best_match(s, long, threshold))))
+
+
+BREAK, MARK = r"\n ?\n", "\x01"  # no normalised text has the mark
+
+
+def sets_of(segment: Column) -> Column:
+    return F.array_compact(bigrams(segment))
+
+
+def held(docs: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, x (normalised text), whole (best match of a text of several paragraphs, if any): texts with an anchor."""
+    text = docs.select("doc_id", "text").where(anchored(F.lower("text"), anchors(templates, threshold))).select("doc_id", normalised(F.col("text")).alias("x"))
+    sets = text.select("doc_id", "x", F.when(F.col("x").rlike(BREAK), sets_of(F.col("x"))).alias("s"))
+    best = sets.select("doc_id", "x", best_of_all(F.col("s"), templates, threshold).alias("whole"))
+    return staged(best.select("doc_id", "x", F.when(F.col("whole.score") >= threshold - 1e-9, F.col("whole")).alias("whole")), "anchored-texts")
+
+
+def segments(text: DataFrame) -> DataFrame:
     """doc_id, segment: lines, and paragraphs of more than one line."""
-    text = docs.select("doc_id", normalised(F.col("text")).alias("x"))
-    lines = F.split(F.col("x"), "\n")
-    paragraphs = F.filter(F.split(F.col("x"), r"\n ?\n"), lambda p: p.contains("\n"))
-    return text.select("doc_id", F.explode(F.concat(lines, paragraphs)).alias("segment"))
+    paragraphs = F.filter(F.split(F.col("x"), BREAK), lambda p: p.contains("\n"))
+    return text.select("doc_id", F.explode(F.concat(F.split(F.col("x"), "\n"), paragraphs)).alias("segment"))
 
 
-def windows(docs: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, best (score, name): windows in what no line or paragraph that matches holds."""
-    words, floor = anchors(templates, threshold), threshold - 1e-9
-    sets = [(name, w, len({*zip(w, w[1:])})) for name, text in templates if len(w := re.findall(r"[^\W_]+", text.lower())) > 1]
-    known = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(w)).alias("words"), F.lit(m).alias("m"), F.lit(least_shared(m, threshold)).alias("least"), F.array_compact(bigrams(F.lit(" ".join(w)))).alias("s")) for name, w, m in sets])
-    mark = "\x01"  # in no normalised text
+def windows(text: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, best (score, name): windows in what no line, paragraph or whole text that matches holds."""
+    words, floor, short = anchors(templates, threshold), threshold - 1e-9, split_by_length(templates)[0]
+    all_ = known(short, threshold)
 
     def dice(t: Column, s: Column) -> Column:
         return F.lit(2.0) * F.size(F.array_intersect(t["s"], s)) / (t["m"] + F.size(F.array_distinct(s)))
 
     def hit(segment: Column) -> Column:
-        return anchored(segment, words) & F.exists(F.array(F.array_compact(bigrams(segment))), lambda s: F.exists(known, lambda t: (F.size(s) >= t["m"] * (threshold / (2 - threshold)) - 1e-9) & (F.size(s) <= t["m"] * ((2 - threshold) / threshold) + 1e-9) & (dice(t, s) >= floor)))
+        return anchored(segment, words) & F.exists(F.array(sets_of(segment)), lambda s: F.coalesce(best_match(s, short, threshold)["score"] >= floor, F.lit(False)))
 
     def without_lines(paragraph: Column) -> Column:
-        return F.array_join(F.transform(F.split(paragraph, "\n"), lambda x: F.when(hit(x), mark).otherwise(x)), "\n")
+        return F.array_join(F.transform(F.split(paragraph, "\n"), lambda x: F.when(hit(x), MARK).otherwise(x)), "\n")
 
-    text = docs.select("doc_id", normalised(F.col("text")).alias("x"))
-    rest = F.array_join(F.transform(F.split("x", r"\n ?\n"), lambda p: F.when(p.contains("\n") & hit(p), mark).otherwise(without_lines(p))), "\n")
-    stretch = text.select("doc_id", F.explode(F.split(rest, mark)).alias("x")).where(anchored(F.col("x"), words))
+    rest = F.array_join(F.transform(F.split("x", BREAK), lambda p: F.when(p.contains("\n") & hit(p), MARK).otherwise(without_lines(p))), "\n")
+    stretch = text.where("whole is null").select("doc_id", F.explode(F.split(rest, MARK)).alias("x")).where(anchored(F.col("x"), words))
     w = F.split(F.trim(F.regexp_replace("x", r"[ \n]+", " ")), " ")
     pairs = stretch.select("doc_id", w.alias("w")).where(F.size("w") > 1).select("doc_id", F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.xxhash64(a, b)).alias("h"))
-    near = pairs.withColumn("near", F.array_intersect("h", F.array_distinct(F.flatten(F.transform(known, lambda t: t["s"])))))
-    near = near.select("doc_id", "h", F.filter(known, lambda t: F.size(F.array_intersect(t["s"], F.col("near"))) >= t["least"]).alias("may")).where(F.size("may") > 0)
+    near = pairs.withColumn("near", F.array_intersect("h", F.array_distinct(F.flatten(F.transform(all_, lambda t: t["s"])))))
+    near = near.select("doc_id", "h", F.filter(all_, lambda t: F.size(F.array_intersect(t["s"], F.col("near"))) >= t["least"]).alias("may")).where(F.size("may") > 0)
 
     def of(t: Column) -> Column:
         at = F.array_compact(F.transform("h", lambda x, k: F.when(F.array_contains(t["s"], x), k + 1)))
@@ -176,17 +225,12 @@ def windows(docs: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHO
 
 def scan(docs: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license_id, score (best Dice of its segments), segments (how many match)."""
-    words = [re.findall(r"[^\W_]+", text.lower()) for _, text in templates]
-    least = min(math.ceil(m * threshold / (2 - threshold) - 1e-9) for w in words if (m := len(set(zip(w, w[1:])))))
-    may = anchors(templates, threshold)
-    docs = docs.select("doc_id", "text").where(anchored(F.lower("text"), may))
+    least = min(math.ceil(m * threshold / (2 - threshold) - 1e-9) for _, text in templates if (m := len({*zip(w := _words(text), w[1:])})))
+    text = held(docs, templates, threshold)
     # n bigrams take n spaces or line ends
-    seen = segments(docs).where(anchored(F.col("segment"), may)).where(F.length("segment") - F.length(F.translate("segment", " \n", "")) >= least)
-    sets = seen.select("doc_id", F.array_compact(bigrams(F.col("segment"))).alias("s")).withColumn("n", F.size("s"))
-    met = sets.join(F.broadcast(lookup(docs.sparkSession, templates, threshold)), "n")
-    dice = F.array_max(F.transform("may", lambda t: F.struct((F.lit(2.0) * F.size(F.array_intersect(t["s"], F.col("s"))) / (t["m"] + F.col("n"))).alias("score"), t["name"].alias("name"))))
-    best = met.select("doc_id", dice.alias("best")).where(F.col("best.score") >= threshold - 1e-9)
-    best = best.union(windows(docs, templates, threshold))
+    seen = segments(text).where(anchored(F.col("segment"), anchors(templates, threshold))).where(F.length("segment") - F.length(F.translate("segment", " \n", "")) >= least)
+    best = seen.select("doc_id", sets_of(F.col("segment")).alias("s")).select("doc_id", best_of_all(F.col("s"), templates, threshold).alias("best")).where(F.col("best.score") >= threshold - 1e-9)
+    best = best.union(text.where("whole is not null").select("doc_id", F.col("whole").alias("best"))).union(windows(text, templates, threshold))
     return best.groupBy("doc_id", F.col("best.name").alias("license_id")).agg(F.max("best.score").alias("score"), F.count(F.lit(1)).alias("segments"))
 
 
@@ -195,7 +239,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
+    values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in ALL_TEMPLATES)
     return rf"""
 with t0(name, text) as (values {values}
 ), norm as (
@@ -204,6 +248,8 @@ with t0(name, text) as (values {values}
   select doc_id, unnest(string_split(x, chr(10))) as s from norm
   union all
   select doc_id, s from (select doc_id, unnest(regexp_split_to_array(x, '\n ?\n')) as s from norm) where contains(s, chr(10))
+  union all
+  select doc_id, x from norm where regexp_matches(x, '\n ?\n')
 ), words as (
   select doc_id, null as name, list_filter(regexp_split_to_array(s, '[ \n]+'), lambda w: w <> '') as w from seg
   union all
