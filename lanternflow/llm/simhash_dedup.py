@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import join_hot_apart, read_table, staged
+from lanternflow.llm._shared import join_hot_apart, read_table, small, staged
 from lanternflow.llm.graph import components
 
 RADIUS, SHINGLE, SEED, SEGMENT, SEGMENTS, FAN = 2, 3, 42, 32_768, 64, 4
@@ -206,11 +206,17 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """docs with one row of each component: the one with the smallest doc_id (nulls last), repeated rows once."""
-    kept = grouped(docs, shingle, radius).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("best"))
-    kept = kept.select(F.coalesce("best.doc_id", F.lit(0)).alias("__dedup_id"), F.col("best.tie").alias("__dedup_tie"))
-    keyed = docs.withColumns({"__dedup_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__dedup_tie": row_key()})
     keys = ["__dedup_id", "__dedup_tie"]
-    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    rows = grouped(docs, shingle, radius).select(F.coalesce("doc_id", F.lit(0)).alias(keys[0]), F.col("tie").alias(keys[1]), F.col("doc_id").isNull().alias("none"), "root")
+    rows = staged(rows.groupBy(*keys, "none", "root").agg(F.count(F.lit(1)).alias("n")), "row-keys")
+    best = rows.groupBy("root").agg(F.min(F.struct("none", *keys)).alias("best"))
+    first = rows.join(best, "root").select(*keys, (F.struct("none", *keys) == F.col("best")).alias("first"), "n")
+    # names of rows: those that go, and those that stay but are repeated
+    odd = staged(first.groupBy(*keys).agg(F.max("first").alias("first"), F.sum("n").alias("n")).where("not first or n > 1"), "row-names")
+    n, keyed = odd.count(), docs.withColumns({keys[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), keys[1]: row_key()})
+    once = keyed.join(small(odd.select(*keys), n), keys, "left_anti")
+    again = keyed.join(small(odd.where("first").select(*keys), n), keys, "left_semi").dropDuplicates(keys)
+    return once.unionByName(again).drop(*keys)
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -213,4 +213,4 @@ def test_pipeline(spark, docs, rows, tmp_path):
 def test_every_operator_has_a_query(name):
     from lanternflow.llm import registry
 
-    assert {q.split("_")[0] for q in registry.queries()} == {*(f"op{n}" for n in range(1, 11)), "pipeline"} and set(registry.oracle_sql()) <= set(registry.queries())
+    assert {q.split("_")[0] for q in registry.queries()} == {f"op{n}" for n in range(1, 11)} and set(registry.oracle_sql()) <= set(registry.queries())
