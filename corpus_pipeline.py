@@ -38,7 +38,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mixed corpus; a row for each document in them."""
     import public_tokenizers
 
-    manifest = token_files.write_token_files(docs, workspace(spark, "corpus"), public_tokenizers.path("word_bpe_49k.json"))
+    manifest = token_files.write_token_files(docs, workspace(spark, "corpus", keep=True), public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_token_files(manifest)
 
 
