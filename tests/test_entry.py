@@ -31,7 +31,7 @@ def test_engine_does_not_need_the_training_operators():
         "import sys\n"
         "class Hide:\n"
         "    def find_spec(self, name, path=None, target=None):\n"
-        "        if name.startswith(('lanternflow.llm', 'corpus_pipeline')): raise ImportError(name)\n"
+        "        if name.startswith(('lanternflow.llm', 'corpus_pipeline')): raise ModuleNotFoundError(name, name=name)\n"
         "sys.meta_path.insert(0, Hide())\n"
         "import __spark_entry__ as e\n"
         "assert e.queries() and not any(q.startswith('op') for q in e.queries())\n"
