@@ -487,7 +487,7 @@ def test_licence_notices_within_lines_and_over_paragraphs(frame):
         (prose + "Licensed under CC BY-NC 4.0.", {("CC-BY-NC-4.0", 1.0, 1)}),
         ("head\nsome code that is released\nunder the MIT\nLicense. and a tail\n" + prose, {("MIT", 1.0, 1)}),
         (isc[:cut] + "\n\n" + isc[cut:event] + "\n\n" + isc[event:], {("ISC", 1.0, 1)}),
-        (prose + all_["BSD-3-Clause"].replace("1. ", "\n\n1. ").replace("THIS", "\n\nTHIS") + prose, {("BSD-3-Clause", 1.0, 1)}),
+        (whole := prose + all_["BSD-3-Clause"].replace("1. ", "\n\n1. ").replace("THIS", "\n\nTHIS") + prose, {("BSD-3-Clause", dice(grams(whole, 2), grams(all_["BSD-3-Clause"], 2)), 1)}),
         ("a Released under the MIT License. b c d e f " * 3, {("MIT", 1.0, 3)}),
         ("x\nReleased under the MIT License.\nthis code is Licensed under CC BY 4.0. by its makers, all of them", {("MIT", 1.0, 1), ("CC-BY-4.0", 1.0, 1)}),
         ("the MIT people released under the table a License", set()),
