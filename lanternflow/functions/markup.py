@@ -6,10 +6,12 @@ import json
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 PAGE = (
     "struct<title_h1:string, nav:string, text:string, links:array<struct<href:string,url:string,text:string>>,"
@@ -156,28 +158,44 @@ def parse(html: str | None, base: str | None, logo_types: tuple[str, ...]) -> di
     if not html:
         return None
     page = _Page(base or "")
-    page.feed(html)
-    page.close()
+    try:
+        page.feed(html)
+        page.close()
+    except Exception:  # what was read up to there stays
+        pass
     spaced = lambda parts: " ".join(" ".join(parts).split())
-    items = json_items(page.scripts)
-    objects = [o for item in items for o in _walk(item)]
-    return {
-        "title_h1": spaced(x for h in page.headlines for x in h),
-        "nav": spaced(x for n in page.navs for x in n),
-        "text": spaced(page.text),
-        "links": [{**x, "text": spaced(x["text"])} for x in page.links],
-        "images": page.images,
-        "meta_description": page.meta.get("description"),
-        "og_description": page.meta.get("og:description"),
-        "og_image": resolved(base or "", page.meta["og:image"]) if page.meta.get("og:image") else None,
-        "jsonld": [json.dumps(x, ensure_ascii=False) for x in items],
-        "jsonld_description": [x["description"] for x in items if isinstance(x.get("description"), str)],
-        "jsonld_address": " ".join(o[k] for o in objects if any(k in o for k in ADDRESS[:4]) for k in ADDRESS if isinstance(o.get(k), str)),
-        "jsonld_contacts": [str(v) for o in objects for k, v in o.items() if k.lower() in ("email", "telephone", "phone") and isinstance(v, str | int)],
-        "jsonld_logos": [u for x in items if (u := _logo(x, base or "", logo_types))],
-        "hero": [spaced(page.heroes[k]) for k in ("main h1 + p", "hero p", "main p") if k in page.heroes],
-        "main_text": spaced(page.mains[0]) if page.mains else None,
+    items = _safe(lambda: json_items(page.scripts), [])
+    objects = _safe(lambda: [o for item in items for o in _walk(item)], [])
+    fields = {
+        "title_h1": lambda: spaced(x for h in page.headlines for x in h),
+        "nav": lambda: spaced(x for n in page.navs for x in n),
+        "text": lambda: spaced(page.text),
+        "links": lambda: [{**x, "text": spaced(x["text"])} for x in page.links],
+        "images": lambda: page.images,
+        "meta_description": lambda: page.meta.get("description"),
+        "og_description": lambda: page.meta.get("og:description"),
+        "og_image": lambda: resolved(base or "", page.meta["og:image"]) if page.meta.get("og:image") else None,
+        "jsonld": lambda: [json.dumps(x, ensure_ascii=False) for x in items],
+        "jsonld_description": lambda: [x["description"] for x in items if isinstance(x.get("description"), str)],
+        "jsonld_address": lambda: " ".join(o[k] for o in objects if any(k in o for k in ADDRESS[:4]) for k in ADDRESS if isinstance(o.get(k), str)),
+        "jsonld_contacts": lambda: [str(v) for o in objects for k, v in o.items() if k.lower() in ("email", "telephone", "phone") and isinstance(v, str | int)],
+        "jsonld_logos": lambda: [u for x in items if (u := _logo(x, base or "", logo_types))],
+        "hero": lambda: [spaced(page.heroes[k]) for k in ("main h1 + p", "hero p", "main p") if k in page.heroes],
+        "main_text": lambda: spaced(page.mains[0]) if page.mains else None,
     }
+    return {k: _safe(f, EMPTY.get(k)) for k, f in fields.items()}
+
+
+#: What a field is where it could not be read.
+EMPTY = {"title_h1": "", "nav": "", "text": "", "jsonld_address": "", **dict.fromkeys(("links", "images", "jsonld", "jsonld_description", "jsonld_contacts", "jsonld_logos", "hero"), [])}
+
+
+def _safe(read, otherwise):
+    """A field's trouble stays its own: neither the page's other fields nor the task are lost."""
+    try:
+        return read()
+    except Exception:
+        return otherwise
 
 
 def parsed_page(html: Column, url: Column, logo_types: tuple[str, ...] = ("Organization", "Brand", "LocalBusiness", "Store")) -> Column:
@@ -191,6 +209,20 @@ def parsed_page(html: Column, url: Column, logo_types: tuple[str, ...] = ("Organ
     return run(html, url)
 
 
+def locations(xml: str | None) -> list[str]:
+    """Texts of <loc> elements of any namespace, in order; none for what is no well-formed XML."""
+    try:
+        found = [e.text for e in ElementTree.fromstring((xml or "").strip()).iter() if isinstance(e.tag, str) and e.tag.rsplit("}", 1)[-1] == "loc"]
+    except (ElementTree.ParseError, ValueError):
+        return []
+    return [t.strip() for t in found if t and t.strip()]
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _locations(xml: pd.Series) -> pd.Series:
+    return xml.map(locations)
+
+
 def sitemap_urls(xml: Column) -> Column:
-    """Texts of <loc> elements of any namespace; empty for what is no XML."""
-    return F.transform(F.regexp_extract_all(F.coalesce(xml, F.lit("")), F.lit(r"<(?:[A-Za-z0-9_]+:)?loc>\s*([^<]*?)\s*</"), F.lit(1)), lambda u: u)
+    """``locations`` of each sitemap."""
+    return _locations(xml)

@@ -6,6 +6,8 @@ picks the first or best value in an explicit order.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -22,17 +24,17 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
     return pages.where(F.coalesce("html", F.lit("")) != "").withColumn("page", parsed_page(F.col("html"), F.col("final_url")))
 
 
-def link_score(path: Column, anchor: Column) -> Column:
+def link_score(path: Column, anchor: Column, weights: Mapping[str, int] = vocab.PAGE_PRIORITY) -> Column:
     """The weight of the best phrase in a link's path and text."""
     hay = F.replace(F.lower(F.concat_ws(" ", path, anchor)), F.lit("_"), F.lit("-"))
-    return F.greatest(*[F.when(hay.contains(p), w).otherwise(0) for p, w in vocab.PAGE_PRIORITY.items()])
+    return F.greatest(*[F.when(hay.contains(p), w).otherwise(0) for p, w in weights.items()])
 
 
-def important_links(parsed: DataFrame, limit: int = 4) -> DataFrame:
+def important_links(parsed: DataFrame, limit: int = 4, weights: Mapping[str, int] = vocab.PAGE_PRIORITY) -> DataFrame:
     """store, url, score, rank: the best links to pages of the same registered domain."""
     links = parsed.select("store", "final_url", F.explode("page.links").alias("l"))
     links = links.where(~F.lower(F.trim("l.href")).rlike("^(#|mailto:|tel:|javascript:)")).withColumn("url", F.regexp_replace("l.url", "#.*$", ""))
-    links = links.withColumn("score", link_score(U.path_of(F.col("url")), F.col("l.text"))).where(F.col("score") > 0)
+    links = links.withColumn("score", link_score(U.path_of(F.col("url")), F.col("l.text"), weights)).where(F.col("score") > 0)
     same = U.registered_domain(U.normalize_domain(F.col("url"))).eqNullSafe(U.registered_domain(U.normalize_domain(F.col("final_url"))))
     best = links.where(same & F.col("url").rlike("(?i)^https?://")).groupBy("store", "url").agg(F.max("score").alias("score"))
     return best.withColumn("rank", F.row_number().over(W.partitionBy("store").orderBy(F.desc("score"), "url"))).where(F.col("rank") <= limit)
@@ -41,8 +43,8 @@ def important_links(parsed: DataFrame, limit: int = 4) -> DataFrame:
 def contacts(parsed: DataFrame) -> DataFrame:
     """store, emails, phones: sorted and distinct."""
     links = F.col("page.links")
-    mails = F.transform(F.filter(links, lambda x: x["href"].startswith("mailto:")), lambda x: F.substring(x["href"], 8, 1000))
-    tels = F.transform(F.filter(links, lambda x: x["href"].startswith("tel:")), lambda x: F.substring(x["href"], 5, 1000))
+    mails = F.transform(F.filter(links, lambda x: x["href"].startswith("mailto:")), lambda x: F.substr(x["href"], F.lit(8)))
+    tels = F.transform(F.filter(links, lambda x: x["href"].startswith("tel:")), lambda x: F.substr(x["href"], F.lit(5)))
     values = F.col("page.jsonld_contacts")
     sources = F.concat(F.array(F.col("page.text")), mails, F.filter(values, lambda v: v.contains("@")))
     found = F.flatten(F.transform(sources, lambda s: X.emails(s)))

@@ -43,7 +43,7 @@ def merge_candidates(current: DataFrame, batch: DataFrame, now: Column | None =
     new = batch.groupBy("domain").agg(
         F.max_by("original_url", "seq").alias("b_url"),
         F.sum(F.greatest(F.lit(1), F.coalesce("discovery_count", F.lit(1)))).cast("long").alias("b_count"),
-        F.array_distinct(F.flatten(F.collect_list("signals"))).alias("b_signals"),
+        F.array_distinct(F.flatten(F.collect_set("signals"))).alias("b_signals"),
         F.max_by("notes", F.when(F.col("notes").isNotNull(), F.col("seq"))).alias("b_notes"),
     )
     empty = F.array().cast("array<string>")
@@ -153,17 +153,49 @@ def fresh(cache: DataFrame, now: Column, ttl_hours: float, at: str = "fetched_at
     return cache.where(F.col(at) >= now - F.make_dt_interval(secs=F.lit(ttl_hours * 3600.0)))
 
 
-def priority(signals: Column, sources: Column, queries: Column, domain: Column, count: Column, places: Sequence[str] = (*vocab.STATES, *vocab.CITY_STATE)) -> Column:
-    """0 to 9.  signals and sources are arrays, queries one text."""
-    strong = F.arrays_overlap(F.transform(signals, lambda s: F.lower(s)), F.array(*map(F.lit, vocab.STRONG_DISCOVERY)))
-    q = F.lower(F.coalesce(queries, F.lit("")))
+def names_a_place(query: Column, places: Sequence[str] = (*vocab.STATES, *vocab.CITY_STATE)) -> Column:
+    """Whether a search query names a state or a city."""
+    q = F.lower(F.coalesce(query, F.lit("")))
     named = F.lit(False)
     for p in places:
         named = named | q.contains(p.lower())
+    return named
+
+
+def priority(signals: Column, sources: Column, queries: Column, domain: Column, count: Column, named: Column | None = None) -> Column:
+    """0 to 9.  signals and sources are arrays, queries one text; named says of queries seen one by one whether any names a place."""
+    strong = F.arrays_overlap(F.transform(signals, lambda s: F.lower(s)), F.array(*map(F.lit, vocab.STRONG_DISCOVERY)))
+    named = names_a_place(queries) if named is None else named
     points = lambda c, n: F.when(F.coalesce(c, F.lit(False)), n).otherwise(0)
     return points(strong, 3) + points(F.size(F.array_distinct(sources)) >= 2, 2) + points(named, 2) + points(F.regexp_extract(domain, "^https?://([^/:]*)", 1).endswith(".in"), 1) + points(count > 1, 1)
 
 
+def first_provenance(candidates: DataFrame, provenance: DataFrame, order: Sequence[str] = ("observed_at", "source", "discovery_query", "source_url")) -> DataFrame:
+    """Candidates with source, query and url of their first observation, and the number of all; ``unknown`` and 0 if there is none."""
+    first = F.min_by(F.struct("source", "discovery_query", "source_url"), F.struct(*order)).alias("f")
+    out = candidates.join(provenance.groupBy("domain").agg(first, F.count(F.lit(1)).alias("n")), "domain", "left")
+    return out.select(*candidates.columns, F.coalesce("f.source", F.lit("unknown")).alias("discovery_source"), "f.discovery_query", F.col("f.source_url").alias("discovery_source_url"), F.coalesce("n", F.lit(0)).alias("observations"))
+
+
+def candidate(current: DataFrame, domain: str) -> DataFrame:
+    """The row of one domain."""
+    return current.where(F.col("domain") == domain)
+
+
+def create_run(runs: DataFrame, wave: str, now: Column | None = None) -> DataFrame:
+    """runs with one more, under the next id."""
+    now = F.current_timestamp() if now is None else now
+    new = runs.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("id")).select("id", F.lit(wave).alias("wave"), now.alias("started_at"))
+    return runs.unionByName(new, allowMissingColumns=True)
+
+
+def finish_run(runs: DataFrame, run_id: int, counts: dict[str, int], now: Column | None = None) -> DataFrame:
+    """runs with the end, the duration and the counts of one of them."""
+    now, mine = F.current_timestamp() if now is None else now, F.col("id") == run_id
+    ended = {"finished_at": now, "total_seconds": F.unix_micros(now) / 1e6 - F.unix_micros("started_at") / 1e6, **{c: F.lit(n).cast("long") for c, n in counts.items()}}
+    return runs.withColumns({c: F.when(mine, v).otherwise(F.col(c)) for c, v in ended.items()})
+
+
 def with_provenance(candidates: DataFrame, provenance: DataFrame) -> DataFrame:
     """Candidates with their provenance, oldest first, and the first one's source, query and url; ``unknown`` if none."""
     rows = provenance.groupBy("domain").agg(F.array_sort(F.collect_list(F.struct("observed_at", "source", "discovery_query", "source_url", "signal", "location", "category_hint"))).alias("provenance"))

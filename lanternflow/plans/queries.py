@@ -118,19 +118,16 @@ def first_evidence(spark, d):
 # --- state
 
 
-@query("""with e as (select 'u' || user_id as domain, event_type, event_id, row_number() over (order by event_id) % 2 as half from events),
+@query("""with e as (select 'u' || user_id as domain, event_type, event_id, event_id % 2 as half from events),
 b as (select domain, count(*) as n, list_sort(list_distinct(list(event_type))) as s from e where half = 1 group by domain),
 c as (select domain, count(*) as n, list_sort(list_distinct(list(event_type))) as s from e where half = 0 group by domain)
 select coalesce(b.domain, c.domain) as domain, cast(coalesce(b.n, 0) + coalesce(c.n, 0) as bigint) as discovery_count, 'NEW' as status,
 array_to_string(list_sort(list_distinct(list_concat(coalesce(b.s, []), coalesce(c.s, [])))), ',') as signals from b full join c on b.domain = c.domain""")
 def upsert_merge(spark, d):
-    """O-60, O-61: a snapshot from every other event, merged with a batch of the rest."""
-    from pyspark.sql import Window as W
-
-    e = table(spark, d, "events").withColumn("half", F.row_number().over(W.orderBy("event_id")) % 2)
-    rows = e.select(F.concat(F.lit("u"), "user_id").alias("domain"), F.lit(None).cast("string").alias("original_url"), F.lit(1).cast("long").alias("discovery_count"), F.array("event_type").alias("signals"), F.lit(None).cast("string").alias("notes"), F.col("event_id").alias("seq"), "half")
-    base = state.merge_candidates(spark.createDataFrame([], state.CANDIDATE), rows.where("half = 1"))
-    return state.merge_candidates(base, rows.where("half = 0")).select("domain", "discovery_count", "status", F.array_join("signals", ",").alias("signals"))
+    """O-60, O-61: a snapshot from events with odd ids, merged with a batch of the rest."""
+    rows = table(spark, d, "events").select(F.concat(F.lit("u"), "user_id").alias("domain"), F.lit(None).cast("string").alias("original_url"), F.lit(1).cast("long").alias("discovery_count"), F.array("event_type").alias("signals"), F.lit(None).cast("string").alias("notes"), F.col("event_id").alias("seq"))
+    base = state.merge_candidates(spark.createDataFrame([], state.CANDIDATE), rows.where("seq % 2 = 1"))
+    return state.merge_candidates(base, rows.where("seq % 2 = 0")).select("domain", "discovery_count", "status", F.array_join("signals", ",").alias("signals"))
 
 
 _edges = ", ".join(f"('{a}', '{b}')" for a, bs in vocab.TRANSITIONS.items() for b in bs)
@@ -138,15 +135,24 @@ _states = ", ".join(f"('{a}', '{b}')" for a, b in EVENT_STATUS.items())
 
 
 @query(f"""with m(event_type, s) as (values {_states}), edges(a, b) as (values {_edges}),
-e as (select user_id, event_id, s, lag(s) over (partition by user_id order by ts, event_id) as old from events join m using (event_type))
-select old, s as new, cast(count(*) as bigint) as violations from e left join edges on a = old and b = s where old is not null and old <> s and a is null group by old, s""")
+e as (select user_id, s, lag(s) over (partition by user_id order by ts, event_id) as old, row_number() over (partition by user_id order by ts desc, event_id desc) as k from events join m using (event_type)),
+r as (select old, s, old = s or b is not null as legal from e left join edges on a = old and b = s where k = 1 and old is not null)
+select case when legal then 'moved' else 'illegal move' end as outcome, old, s as new, cast(count(*) as bigint) as n from r group by all
+union all select 'snapshot', null, case when legal then s else old end, cast(count(*) as bigint) from r group by all""")
 def transition_violations(spark, d):
-    """O-62, O-64: moves of each user's event states that the machine forbids."""
+    """O-62, O-64: each user's last event moves the state that the event before left."""
     from pyspark.sql import Window as W
 
-    e = table(spark, d, "events").withColumn("new", X.lookup(EVENT_STATUS, F.col("event_type")))
-    e = e.withColumn("old", F.lag("new").over(W.partitionBy("user_id").orderBy("ts", "event_id"))).where("old is not null")
-    return e.where(~state.is_allowed(F.col("old"), F.col("new"))).groupBy("old", "new").agg(F.count(F.lit(1)).alias("violations"))
+    by_user, k = W.partitionBy("user_id"), F.row_number().over(W.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))
+    e = table(spark, d, "events").withColumn("s", X.lookup(EVENT_STATUS, F.col("event_type"))).withColumn("old", F.lag("s").over(by_user.orderBy("ts", "event_id"))).withColumn("k", k).where("k = 1 and old is not null")
+    empty = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    current = e.select(F.col("user_id").cast("string").alias("domain"), F.col("old").alias("status"), *empty("last_error", "retry_reason"), F.lit(0).alias("attempt_count"), F.col("ts").alias("updated_at"))
+    events = e.select(F.col("user_id").cast("string").alias("domain"), F.col("s").alias("new_status"), *empty("error", "reason"), F.lit(True).alias("counts_attempt"))
+    after, refused = state.transition(current, events)
+    count = F.count(F.lit(1)).alias("n")
+    moved = after.where("attempt_count = 1").join(current.select("domain", F.col("status").alias("old")), "domain").groupBy(F.lit("moved").alias("outcome"), "old", F.col("status").alias("new")).agg(count)
+    told = refused.groupBy(F.col("why").alias("outcome"), F.col("status").alias("old"), F.col("new_status").alias("new")).agg(count)
+    return moved.unionByName(told).unionByName(after.groupBy(F.lit("snapshot").alias("outcome"), F.lit(None).cast("string").alias("old"), F.col("status").alias("new")).agg(count))
 
 
 @query(f"select cast(count(*) as bigint) as edges from (values {_edges}) t(a, b)")
@@ -325,15 +331,21 @@ def priority_score(spark, d):
     return u.select("user_id", state.priority(F.col("s"), F.col("p"), F.col("q"), domain, F.col("n")).cast("int").alias("priority"))
 
 
-@query(r"""with l as (select page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages),
-b as (select page_id, href, length(href) as score from l group by all)
-select page_id, href, cast(score as integer) as score, cast(row_number() over (partition by page_id order by score desc, href) as integer) as rank from b qualify rank <= 4""")
+#: Phrases that the pages' own links have.
+LINK_WEIGHTS = {"tion": 90, "en": 60, "an": 40, "t": 10}
+_link_score = "case " + " ".join(f"when contains(hay, '{p}') then {w}" for p, w in LINK_WEIGHTS.items()) + " else 0 end"
+
+
+@query(rf"""with l as (select page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) as origin, unnest(list_zip(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1), regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2))) as a from pages),
+h as (select page_id, origin || a[1] as url, replace(lower(a[1] || ' ' || a[2]), '_', '-') as hay from l),
+b as (select page_id as store, url, cast(max({_link_score}) as integer) as score from h group by all)
+select store, url, score, cast(row_number() over (partition by store order by score desc, url) as integer) as rank from b where score > 0 qualify rank <= 4""")
 def links_topk_per_page(spark, d):
-    """O-71: the longest links stand for the best ones."""
-    from pyspark.sql import Window as W
+    """O-71: the best links of each page, with phrases of their own."""
+    from lanternflow.operators.extract import important_links
+    from lanternflow.operators.extract import parsed_pages as parse
 
-    links = table(spark, d, "pages").select("page_id", F.explode(X.matches(F.col("html"), '<a href="([^"]*)"', 1)).alias("href")).distinct().withColumn("score", F.length("href"))
-    return links.withColumn("rank", F.row_number().over(W.partitionBy("page_id").orderBy(F.desc("score"), "href"))).where("rank <= 4")
+    return important_links(parse(_store_pages(spark, d)), 4, LINK_WEIGHTS)
 
 
 @query("select s_suppkey, s_acctbal from supplier order by cast(trunc(s_acctbal) as integer), s_suppkey limit 2")
@@ -417,10 +429,17 @@ def emails_valid(spark, d):
     return docs.select("doc_id", F.array_join("e", ",").alias("emails"))
 
 
-@query(r"select doc_id, cast(len(list_filter(regexp_split_to_array(text, '[^0-9A-Za-z_]+'), lambda x: regexp_matches(x, '^[0-9]{16}$'))) as integer) as tokens from documents")
-def long_number_tokens(spark, d):
-    """O-92: the shape of a code of digits."""
-    return table(spark, d, "documents").select("doc_id", F.regexp_count("text", F.lit(r"\b[0-9]{16}\b")).alias("tokens"))
+_country = "coalesce(text, '') || case when doc_id % 2 = 0 then ' PIN ' || (100000 + doc_id % 900000) || ' x' || (200000 + doc_id) else '' end || case doc_id % 3 when 0 then ' Rs. ' || doc_id when 1 then ' in India, +91 98765 4' || (1000 + doc_id % 9000) || ' ' else '' end"
+
+
+@query(rf"""with t as (select doc_id, {_country} as x from documents)
+select doc_id, cast(len(list_filter(regexp_split_to_array(x, '[^\pL\pN_]+'), lambda w: regexp_matches(w, '^[1-9][0-9]{{5}}$'))) as integer) as pins,
+regexp_matches(x, '(?i)(₹|\bINR\b|Rs\.?)\s*[0-9]') as priced, regexp_matches(x, '(?i)\b(India|Bharat)\b') as country, regexp_matches(x, '(\+91|0091)[\s().-]*[6-9]([\s().-]*[0-9]){{9}}([^0-9]|$)') as phone from t""")
+def country_patterns(spark, d):
+    """O-92: documents with codes, prices, a country's name and phone numbers put in."""
+    x = table(spark, d, "documents").select("doc_id", F.expr(_country).alias("x"))
+    has = lambda p: F.col("x").rlike(X.pattern(p))
+    return x.select("doc_id", F.size(X.matches(F.col("x"), "(?U)" + vocab.PIN)).alias("pins"), has(vocab.PRICE).alias("priced"), has(vocab.COUNTRY_WORD).alias("country"), has(vocab.PHONE).alias("phone"))
 
 
 @query(r"select doc_id, cast(length(trim(regexp_replace(text, '\s+', ' ', 'g'))) as integer) as cleaned, cast(least(length(trim(regexp_replace(text, '\s+', ' ', 'g'))), 500) >= 20 and not regexp_matches(lower(text), 'cookie policy|accept cookies|enable javascript|skip to content') as boolean) as accepted from documents")
@@ -447,11 +466,15 @@ def category(spark, d):
     return table(spark, d, "documents").select("doc_id", X.category([(F.col("text"), 1)], vocab.NEUTRAL_CATEGORIES).alias("category"))
 
 
-@query(r"""select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as h1 from pages""")
+_plain = "replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(rf"""select page_id as store, trim(regexp_replace({_plain}, '\s+', ' ', 'g')) as title_h1 from (select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) || ' ' || regexp_extract(html, '<h1>([^<]*)</h1>', 1) as x from pages)""")
 def page_title_h1(spark, d):
-    """O-114, in the JVM: headlines without a parser."""
-    one = lambda t: F.regexp_extract("html", f"<{t}>([^<]*)</{t}>", 1).alias(t)
-    return table(spark, d, "pages").select("page_id", one("title"), one("h1"))
+    """O-114, O-110: headlines by the parser."""
+    from lanternflow.operators.extract import parsed_pages as parse
+
+    return parse(_store_pages(spark, d)).select("store", "page.title_h1")
 
 
 @query()
@@ -479,64 +502,112 @@ def store_records(spark, d):
 # --- audit and validation
 
 
-def _verdicts(spark, d):
-    j = _labelled(spark, d)
-    shopify = F.when(F.col("quality").isNull(), "UNCERTAIN").when(F.col("quality") == 1, "PASS").otherwise("FAIL")
-    toxic = F.when(F.col("toxic").isNull(), "MISSING").when(F.col("toxic") == 1, "FAIL").otherwise("PASS")
-    return j.select("doc_id", shopify.alias("shopify"), toxic.alias("logo"), F.when(F.col("n_chars") > 500, "PASS").otherwise("UNCERTAIN").alias("contacts"))
-
-
-_verdict_sql = """(select d.doc_id, case when quality is null then 'UNCERTAIN' when quality = 1 then 'PASS' else 'FAIL' end as shopify, case when toxic is null then 'MISSING' when toxic = 1 then 'FAIL' else 'PASS' end as logo,
-case when n_chars > 500 then 'PASS' else 'UNCERTAIN' end as contacts from documents d left join labels l on d.doc_id = l.doc_id)"""
-
-
-@query(f"select * from {_verdict_sql}")
+def _audits(spark, d):
+    """Documents as stored records, their labels as what the pages say now: every outcome of every check occurs."""
+    n, words = F.col("doc_id"), lambda *names: F.array(*[F.struct(F.lit(x).alias("signal")) for x in names])
+    j = table(spark, d, "documents").select("doc_id", "text").join(table(spark, d, "labels"), "doc_id", "left")
+    there, score = F.col("quality").isNotNull(), F.coalesce("quality", F.lit(0)) * 5 + n % 2
+    none = F.array().cast("array<struct<signal:string>>")
+    shown = F.when(n % 4 == 0, none).when(n % 4 == 1, words("inr_pricing")).otherwise(words("gstin", "inr_pricing"))
+    logo = F.when(n % 8 == 1, "ftp://a.in/logo.png").when(n % 8 == 2, "https://a.in/favicon.ico").when(n % 8 > 2, F.concat(F.lit("https://a.in/l"), n.cast("string"), F.lit(".png")))
+    side = F.when(n % 8 == 3, 16)
+    state_now, state_then = F.when(n % 5 == 0, "Goa").when(n % 5 == 1, "Kerala"), F.when(n % 3 > 0, "Goa")
+    mails = F.concat(X.emails(F.col("text")), F.when(n % 7 == 0, F.array(F.lit("not an email"))).otherwise(F.array().cast("array<string>")))
+    nothing = F.array().cast("array<string>")
+    phones = F.when(n % 4 == 0, F.array(F.lit("+919800000000"))).otherwise(nothing)
+    five = lambda **urls: F.struct(*[(urls.get(p) if p in urls else F.lit(None).cast("string")).alias(p) for p in vocab.PLATFORMS])
+    profile = U.social_profile(F.lit("https://facebook.com/brand"))["url"]
+    stored = five(facebook=F.when(n % 5 > 1, "https://facebook.com/brand"), instagram=F.when(n % 5 == 1, "https://example.org/x"))
+    checks = {
+        "shopify": audit.check_platform(there, score, score >= 4, shown, nothing),
+        "india": audit.check_country(there, score, score >= 4, shown, state_now),
+        "logo": audit.check_logo(there, logo, side, side, F.when(n % 8 == 4, logo), F.when(n % 8 == 5, logo).otherwise("")),
+        "state": audit.check_state(there, state_then, state_now),
+        "contacts": audit.check_contacts(there, mails, phones, F.when(n % 3 == 0, nothing).otherwise(X.emails(F.col("text"))), F.when(n % 8 == 0, phones).otherwise(nothing)),
+        "socials": audit.check_socials(there, stored, five(facebook=F.when(n % 5 != 3, profile))),
+    }
+    out = j.select("doc_id", there.alias("there"), F.to_json(mails).alias("emails"), F.to_json(phones).alias("phones"), *[c["verdict"].alias(k) for k, c in checks.items()])
+    return out.withColumn("confidence", audit.audit_confidence(F.col("there"), {k: F.col(k) for k in checks}))
+
+
+CHECKS = ("shopify", "india", "logo", "state", "contacts", "socials")
+_emails_sql = SQL["emails_valid"]
+_audit_sql = f"""(with m as ({_emails_sql}), j as (select d.doc_id, d.doc_id as n, quality is null as off, coalesce(quality, 0) * 5 + d.doc_id % 2 as score, m.emails is not null as mailed from documents d left join labels l on d.doc_id = l.doc_id left join m on d.doc_id = m.doc_id),
+v as (select *, case when off then 'UNCERTAIN' when score >= 4 and n % 4 >= 2 then 'PASS' when score > 0 then 'UNCERTAIN' else 'FAIL' end as shopify,
+case when off then 'UNCERTAIN' when score >= 4 and (n % 4 >= 2 or n % 5 < 2) then 'PASS' when score > 0 then 'UNCERTAIN' else 'FAIL' end as india,
+case when n % 8 = 0 then 'MISSING' when n % 8 < 3 then 'FAIL' when off then 'UNCERTAIN' when n % 8 = 3 then 'FAIL' when n % 8 = 4 then 'PASS' else 'UNCERTAIN' end as logo,
+case when off then 'UNCERTAIN' when n % 3 = 0 and n % 5 > 1 then 'MISSING' when n % 3 = 0 then 'FAIL' when n % 5 = 0 then 'PASS' when n % 5 = 1 then 'FAIL' else 'UNCERTAIN' end as state,
+case when off then 'UNCERTAIN' when n % 7 = 0 or (n % 3 = 0 and mailed) or (n % 4 = 0 and n % 8 <> 0) then 'FAIL' when not mailed and n % 4 <> 0 then 'UNCERTAIN' else 'PASS' end as contacts,
+case when n % 5 = 0 then 'MISSING' when n % 5 = 1 then 'FAIL' when off or n % 5 = 3 then 'UNCERTAIN' else 'PASS' end as socials from j)
+select *, case when off or 'FAIL' in (shopify, india, logo, state, contacts, socials) then 'LOW' when 'UNCERTAIN' in (shopify, india, logo, state, contacts, socials) then 'MEDIUM'
+when shopify = 'PASS' and india = 'PASS' and contacts = 'PASS' then 'HIGH' else 'MEDIUM' end as confidence from v)"""
+
+
+@query(f"select doc_id, {', '.join(CHECKS)} from {_audit_sql}")
 def audit_verdicts(spark, d):
-    """O-140, O-142, O-144: verdicts of labelled documents."""
-    return _verdicts(spark, d)
+    """O-140 to O-145."""
+    return _audits(spark, d).select("doc_id", *CHECKS)
 
 
 @query(f"""select "check", cast(count(*) filter (v = 'PASS') as bigint) as "PASS", cast(count(*) filter (v = 'FAIL') as bigint) as "FAIL", cast(count(*) filter (v = 'UNCERTAIN') as bigint) as "UNCERTAIN", cast(count(*) filter (v = 'MISSING') as bigint) as "MISSING"
-from (select 'shopify' as "check", shopify as v from {_verdict_sql} union all select 'logo', logo from {_verdict_sql} union all select 'contacts', contacts from {_verdict_sql}) group by 1""")
+from (unpivot (select {', '.join(CHECKS)} from {_audit_sql}) on {', '.join(CHECKS)} into name "check" value v) group by 1""")
 def audit_pivot(spark, d):
     """O-59."""
-    return cohorts.verdict_counts(_verdicts(spark, d), ("shopify", "logo", "contacts"))
+    return cohorts.verdict_counts(_audits(spark, d), CHECKS)
 
 
-@query(f"select doc_id, case when shopify = 'FAIL' or logo = 'FAIL' then 'LOW' when shopify = 'UNCERTAIN' or contacts = 'UNCERTAIN' then 'MEDIUM' when logo in ('PASS', 'MISSING') then 'HIGH' else 'MEDIUM' end as confidence from {_verdict_sql}")
+@query(f"select doc_id, confidence from {_audit_sql}")
 def confidence_agg(spark, d):
     """O-146."""
-    v = {c: F.col(c) for c in ("shopify", "logo", "contacts")}
-    v |= {"india": F.col("shopify"), "state": F.col("logo"), "socials": F.col("logo")}
-    return _verdicts(spark, d).select("doc_id", audit.audit_confidence(F.lit(True), v).alias("confidence"))
+    return _audits(spark, d).select("doc_id", "confidence")
+
+
+_said = {"PASS": "yes", "FAIL": "no", "MISSING": "missing", "UNCERTAIN": "uncertain"}
+_said_sql = lambda c: f"case {c} " + " ".join(f"when '{k}' then '{v}'" for k, v in _said.items()) + " end"
 
 
-@query(f"""select doc_id, case shopify when 'PASS' then 'yes' when 'FAIL' then 'no' else 'uncertain' end as suggested_shopify, case when shopify <> 'PASS' or logo = 'FAIL' then 'HIGH' else 'MEDIUM' end as review_priority from {_verdict_sql}""")
+@query(f"""with s as (select *, {_said_sql('shopify')} as s1, {_said_sql('india')} as s2, {_said_sql('logo')} as s3, case when n % 3 = 0 and state in ('MISSING', 'UNCERTAIN') then 'missing' else {_said_sql('state')} end as s4,
+case when not mailed and n % 7 <> 0 and n % 4 <> 0 then 'missing' else {_said_sql('contacts')} end as s5 from {_audit_sql})
+select doc_id, s1 as suggested_shopify, s4 as suggested_state, s5 as suggested_contacts, case when confidence = 'LOW' or 'no' in (s1, s2, s3, s4, s5) or 'uncertain' in (s1, s2, s5) then 'HIGH'
+when confidence = 'MEDIUM' or 'missing' in (s1, s2, s3, s4, s5) or 'uncertain' in (s1, s2, s3, s4, s5) then 'MEDIUM' else 'LOW' end as review_priority from s""")
 def review_suggestion(spark, d):
-    """O-149: documents without contacts."""
-    v = _verdicts(spark, d)
-    a = v.select("doc_id", *[F.col(c).alias(f"auto_{n}_check") for n, c in {"shopify": "shopify", "india": "shopify", "logo": "logo", "state": "logo", "contacts": "contacts", "socials": "logo"}.items()], F.lit("x").alias("state"), F.lit("[]").alias("emails"), F.lit("[]").alias("phones"), F.when(F.col("logo") == "FAIL", "LOW").otherwise("MEDIUM").alias("auto_audit_confidence"))
-    return audit.suggested(a).select("doc_id", "suggested_shopify", "review_priority")
+    """O-149."""
+    a = _audits(spark, d)
+    a = a.select("doc_id", *[F.col(c).alias(f"auto_{c}_check") for c in CHECKS], F.when(F.col("doc_id") % 3 > 0, "Goa").otherwise("").alias("state"), "emails", "phones", F.col("confidence").alias("auto_audit_confidence"))
+    return audit.suggested(a).select("doc_id", "suggested_shopify", "suggested_state", "suggested_contacts", "review_priority")
+
+
+def _export(spark, d):
+    """Pages as a public export with every kind of defect."""
+    n, json = F.col("page_id"), lambda *cases: F.coalesce(*[F.when(c, t) for c, t in cases])
+    return table(spark, d, "pages").select(
+        F.when(n % 50 == 0, "").when(n % 50 == 1, "not a domain").otherwise(F.col("url")).alias("domain_url"),
+        json((n % 7 == 0, '{"emails": ['), (n % 7 == 1, '{"emails": ["a@b.in", "a@b.in"], "phones": []}'), (F.lit(True), '{"emails": ["a@b.in"], "phones": []}')).alias("contacts"),
+        json((n % 6 == 0, '{"instagram": "https://instagram.com/share"}'), (n % 6 == 1, '{"myspace": "https://myspace.com/x"}'), (n % 6 == 2, "oops"), (F.lit(True), '{"facebook": "https://facebook.com/brand", "instagram": null}')).alias("socials"),
+        F.when(n % 4 == 0, "").otherwise("Other").alias("category"), F.lit("t").alias("tagline_or_description"),
+        F.when(n % 5 == 0, "https://a.in/favicon.ico").otherwise("https://a.in/logo.png").alias("logo_url"), F.when(n % 3 == 0, "Goa").otherwise("").alias("state"),
+    )
 
 
-@query(f"""with x as (select count(*) as n, count(*) - count(distinct domain) as d, count(distinct registered) as r, count(*) as k from {DOMAIN_SQL})
+@query(f"""with p as (select page_id as n, case when page_id % 50 > 1 then registered end as key from {DOMAIN_SQL}),
+x as (select count(*) as k, count(*) filter (n % 50 = 0) as empty, count(*) filter (n % 50 < 2) as invalid, count(key) = count(distinct key) as single, count(*) filter (n % 5 = 0) as logos, count(*) filter (n % 7 = 0 or n % 6 = 2) as json,
+count(*) filter (n % 7 = 1 and n % 6 <> 2) as repeated, count(*) filter (n % 7 <> 0 and n % 6 < 2) as socials from p)
 select "check", passed, detail from (
-select 'Required columns' as "check", true as passed, '' as detail union all select 'CSV row count', n >= 100, n || ' rows; target >= 100' from x union all
-select 'Non-empty domains', true, '0 empty' union all select 'Valid domain URLs', true, '0 invalid' union all select 'Unique domains', k = r, '' from x union all
-select 'Logo validation', true, '0 forbidden icons' union all select 'JSON-in-CSV fields', true, '0 malformed rows' union all select 'Deduplicated contacts', true, '0 affected rows' union all select 'Social profile URLs', true, '0 share URLs')""")
+select 'Required columns' as "check", (select count(*) from (values ('domain_url'), ('contacts')) v(c)) = 2 as passed, '' as detail union all select 'CSV row count', k >= 1000, k || ' rows; target >= 1000' from x union all
+select 'Non-empty domains', empty = 0, empty || ' empty' from x union all select 'Valid domain URLs', invalid = 0, invalid || ' invalid' from x union all select 'Unique domains', single, '' from x union all
+select 'Logo validation', logos = 0, logos || ' forbidden icons' from x union all select 'JSON-in-CSV fields', json = 0, json || ' malformed rows' from x union all select 'Deduplicated contacts', repeated = 0, repeated || ' affected rows' from x union all select 'Social profile URLs', socials = 0, socials || ' share URLs' from x)""")
 def quality_checks(spark, d):
     """O-151, O-30, O-46, O-85, O-86."""
-    p = table(spark, d, "pages")
-    export = p.select(F.col("url").alias("domain_url"), F.lit('{"emails": ["a@b.in"], "phones": []}').alias("contacts"), F.lit('{"instagram": "https://instagram.com/x", "facebook": null}').alias("socials"), F.lit("Other").alias("category"), F.lit("t").alias("tagline_or_description"), F.lit("https://a.in/logo.png").alias("logo_url"), F.lit("").alias("state"))
-    return audit.quality(export, 100)
+    return audit.quality(_export(spark, d))
 
 
-@query(f"""select cast(count(*) as bigint) as rows, cast(0 as bigint) as invalid_domains, cast(count(*) - count(distinct registered) as bigint) as duplicate_domains, cast(0 as bigint) as bad_logos, cast(0 as bigint) as bad_contacts, cast(count(*) as bigint) as bad_socials,
-cast(0 as bigint) as missing_domain_url, cast(0 as bigint) as missing_contacts, cast(0 as bigint) as missing_socials, cast(0 as bigint) as missing_category, cast(0 as bigint) as missing_tagline_or_description, cast(0 as bigint) as missing_logo_url, cast(count(*) as bigint) as missing_state from {DOMAIN_SQL}""")
+@query(f"""with p as (select page_id as n, case when page_id % 50 > 1 then registered end as key from {DOMAIN_SQL})
+select cast(count(*) as bigint) as rows, cast(count(*) filter (n % 50 < 2) as bigint) as invalid_domains, cast(count(key) - count(distinct key) as bigint) as duplicate_domains, cast(count(*) filter (n % 5 = 0) as bigint) as bad_logos, cast(count(*) filter (n % 7 = 0) as bigint) as bad_contacts, cast(count(*) filter (n % 6 = 2) as bigint) as bad_socials,
+cast(count(*) filter (n % 50 = 0) as bigint) as missing_domain_url, cast(count(*) filter (n < 0) as bigint) as missing_contacts, cast(count(*) filter (n < 0) as bigint) as missing_socials, cast(count(*) filter (n % 4 = 0) as bigint) as missing_category,
+cast(count(*) filter (n < 0) as bigint) as missing_tagline_or_description, cast(count(*) filter (n < 0) as bigint) as missing_logo_url, cast(count(*) filter (n % 3 <> 0) as bigint) as missing_state from p""")
 def output_validation(spark, d):
     """O-153."""
-    p = table(spark, d, "pages")
-    return audit.validation(p.select(F.col("url").alias("domain_url"), F.lit('{"emails": ["a@b.in"]}').alias("contacts"), F.lit("not json").alias("socials"), F.lit("Other").alias("category"), F.lit("t").alias("tagline_or_description"), F.lit("https://a.in/logo.png").alias("logo_url"), F.lit("").alias("state")))
+    return audit.validation(_export(spark, d))
 
 
 _signals = [(s, vocab.SIGNAL_PRIORITY[s]) for s in vocab.SEARCH_SIGNALS]
@@ -555,31 +626,37 @@ def search_query_gen(spark, d):
     return search_queries(spark)
 
 
-@query("""with w as (select conv_id, role, list_distinct(flatten(list(regexp_split_to_array(lower(text), '[^a-z0-9]+')))) as t from conversations group by 1, 2),
-p as (select u.conv_id, list_filter(u.t, lambda x: not list_contains(coalesce(a.t, []), x)) as gone from w u left join w a on a.conv_id = u.conv_id and a.role = 'assistant' where u.role = 'user')
-select conv_id, cast(len(gone) as integer) as missing from p""")
+@query(f"""with m as ({_emails_sql}), c as (select d.doc_id, string_split(coalesce(emails, ''), ',') as e, emails is not null as mailed, d.doc_id % 3 as r from documents d left join m on d.doc_id = m.doc_id),
+k as (select doc_id, mailed, list_sort(case when not mailed then [] when r = 0 then e when r = 1 then list_filter(e, lambda x: x > 'm') else [] end) as gone from c)
+select doc_id, case when len(gone) > 0 then 'stored emails not found: ' || array_to_string(gone, ',') when mailed then 'confirmed ' || len(string_split(emails, ',')) || ' email(s) and 0 phone(s)' else 'no stored contacts to confirm' end as note from k join (select d.doc_id as id, emails from documents d left join m on d.doc_id = m.doc_id) on id = doc_id""")
 def contacts_diff(spark, d):
-    """O-39, O-144: a user's words that no assistant turn has."""
-    c = table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.array_distinct(F.flatten(F.collect_list(F.split(F.lower("text"), "[^a-z0-9]+")))).alias("t"))
-    user = c.where("role = 'user'").select("conv_id", F.col("t").alias("u"))
-    other = c.where("role = 'assistant'").select("conv_id", F.col("t").alias("a"))
-    gone = F.array_except("u", F.coalesce("a", F.array().cast("array<string>")))
-    return user.join(other, "conv_id", "left").select("conv_id", F.size(gone).alias("missing"))
+    """O-39, O-144: stored addresses that the pages of now do not have."""
+    mails, r, nothing = X.emails(F.col("text")), F.col("doc_id") % 3, F.array().cast("array<string>")
+    now = F.when(r == 0, nothing).when(r == 1, F.filter(mails, lambda m: ~(m > "m"))).otherwise(mails)
+    return table(spark, d, "documents").select("doc_id", audit.check_contacts(F.lit(True), mails, nothing, now, nothing)["note"].alias("note"))
+
+
+_query = "case event_id % 3 when 0 then '\"click\" \"Pune\" food' when 1 then props else '\"' || event_type || '\"' end"
 
 
-@query("""select event_id, case when event_id % 4 = 0 then 'mumbai' else props end as place from events""")
+@query(f"""select event_id, case when event_id % 4 = 0 then 'mumbai' when event_id % 3 = 0 then case when event_type = 'click' then 'Pune' else 'click' end when event_id % 3 = 1 then coalesce(nullif(regexp_extract(props, '"([^"]+)"', 1), ''), props) else '"' || event_type || '"' end as family from events where user_id % 7 > 0""")
 def conditional_location(spark, d):
-    """O-28."""
-    place = F.when(F.col("event_id") % 4 == 0, "mumbai").otherwise("")
-    return table(spark, d, "events").select("event_id", F.when(place != "", place).otherwise(F.col("props")).alias("place"))
+    """O-28, O-101, O-31: a place, or the quoted phrase that is no signal, or the query; of known candidates only."""
+    from lanternflow.plans.report import provenance_rows
+
+    e = table(spark, d, "events")
+    rows = e.select("event_id", F.col("user_id").cast("string").alias("domain"), F.when(F.col("event_id") % 4 == 0, "mumbai").when(F.col("event_id") % 4 == 1, "").alias("location"), F.col("event_type").alias("signal"), F.expr(_query).alias("discovery_query"))
+    known = e.where("user_id % 7 > 0").select(F.col("user_id").cast("string").alias("domain"), F.lit("NEW").alias("status")).distinct()
+    return provenance_rows(rows, known).select("event_id", "family")
 
 
-@query("""select user_id, first(event_type order by ts, event_id) as discovery_source, cast(count(*) as bigint) as rows from events group by user_id""")
+@query("""with e as (select user_id, first(event_type order by ts, event_id) as s, first(props order by ts, event_id) as q, count(*) as n from events group by user_id)
+select c_custkey, coalesce(s, 'unknown') as discovery_source, q as discovery_query, cast(coalesce(n, 0) as bigint) as observations from customer left join e on c_custkey = user_id""")
 def provenance_first(spark, d):
-    """O-32, O-174: the first observation names the source."""
-    e = table(spark, d, "events").select(F.concat(F.lit(""), "user_id").alias("domain"), F.col("event_type").alias("source"), F.col("props").alias("discovery_query"), F.col("event_id").alias("n"), F.col("ts").alias("observed_at"))
-    first = e.groupBy("domain").agg(F.min_by("source", F.struct("observed_at", "n")).alias("discovery_source"), F.count(F.lit(1)).alias("rows"))
-    return first.select(F.col("domain").cast("long").alias("user_id"), "discovery_source", "rows")
+    """O-32, O-174: customers as candidates; the first event names the source."""
+    e = table(spark, d, "events").select(F.col("user_id").alias("domain"), F.col("event_type").alias("source"), F.col("props").alias("discovery_query"), F.lit("").alias("source_url"), F.col("event_id").alias("n"), F.col("ts").alias("observed_at"))
+    people = table(spark, d, "customer").select(F.col("c_custkey").alias("domain"))
+    return state.first_provenance(people, e, ("observed_at", "n")).select(F.col("domain").alias("c_custkey"), "discovery_source", "discovery_query", "observations")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

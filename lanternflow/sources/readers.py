@@ -139,7 +139,11 @@ def page_rows(pages: DataFrame, most_bytes: int = 5_000_000) -> DataFrame:
 
 def robots_allowed(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """pages (host, path) without those a rule (host, prefix) disallows; hosts without rules allow all."""
-    bad = pages.join(rules, "host").where(F.col("path").startswith(F.col("prefix")) & (F.col("prefix") != "")).select("host", "path").distinct()
+    rules = rules.where(F.coalesce("prefix", F.lit("")) != "").select("host", "prefix").distinct()
+    # a path meets the rules that are one of its own prefixes, of the lengths that its host's rules have: an equi-join
+    lengths = rules.groupBy("host").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    starts = pages.select("host", "path").distinct().join(lengths, "host").select("host", "path", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n"))
+    bad = starts.select("host", "path", F.substr("path", F.lit(1), F.col("n")).alias("prefix")).join(rules, ["host", "prefix"], "left_semi").select("host", "path").distinct()
     return pages.join(bad, ["host", "path"], "left_anti")
 
 
@@ -148,6 +152,6 @@ def sitemap(pages: DataFrame, limit: int = 10) -> DataFrame:
     from lanternflow.functions.markup import sitemap_urls
 
     rows = pages.select("store", F.posexplode(sitemap_urls(F.col("xml"))).alias("pos", "url"))
-    path = U.path_of(F.col("url"))
+    path = F.lower(U.path_of(F.col("url")))
     good = rows.where(U.same_registered_domain(U.normalize_domain(F.col("url")), U.normalize_domain(F.col("store"))) & (path.contains("/products") | path.contains("/collections") | path.contains("/pages")))
     return good.groupBy("store").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "url"))), 1, limit).alias("u")).select("store", F.explode("u.url").alias("url"))

@@ -1,7 +1,7 @@
 """Sinks: exports in CSV and JSON, reports, worksheets, page caches.
 
-Files are written by the engine's writers under a folder name; ``single`` asks for one part
-(exports are small), everything else keeps its partitions.
+Files are written by the engine's writers under a folder name and keep their partitions;
+``single`` gathers the finished rows in one part, and never what computes them.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ CSV = {"header": "true", "escape": '"', "emptyValue": ""}
 PUBLIC = ("domain_url", "contacts", "socials", "category", "tagline_or_description", "logo_url", "state")
 
 
-def csv(df: DataFrame, path: str, single: bool = True) -> None:
-    (df.coalesce(1) if single else df).write.mode("overwrite").options(**CSV).csv(path)
+def csv(df: DataFrame, path: str, single: bool = False) -> None:
+    (df.repartition(1) if single else df).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def public(records: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def export(records: DataFrame, folder: str, key: str = "domain_url", seq: str =
     """The best record of each domain as public JSON, CSV, debug JSON and completeness report; returns what was exported."""
     best = keep_best(records, key, F.coalesce("shopify_score", F.lit(0)) + F.coalesce("india_score", F.lit(0)), seq)
     told = public(best)
-    told.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/public_json")
+    told.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/public_json")
     nested = lambda c: F.to_json(c, {"ignoreNullFields": "false"}).alias(c)
     csv(told.select(*[nested(c) if c in ("contacts", "socials") else c for c in told.columns]), f"{folder}/csv")
     best.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/debug_json")

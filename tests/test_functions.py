@@ -120,3 +120,23 @@ def test_rating_and_json(one):
 def test_query_text(one):
     assert one(X.inferred_signal, 'find "Powered by SHOPIFY" shops') == "Powered by Shopify"
     assert one(lambda q: X.quoted_family(q, F.lit("cdn.shopify.com")), '"cdn.shopify.com" "Mumbai" food') == "Mumbai"
+
+
+def test_a_field_that_fails_stays_alone(monkeypatch):
+    from lanternflow.functions import markup
+
+    def broken(*_):
+        raise RuntimeError("no logo")
+
+    monkeypatch.setattr(markup, "_logo", broken)
+    page = markup.parse('<title>t</title><script type="application/ld+json">{"description": "d"}</script><a href="/x">y</a>', "https://a.in", ())
+    assert page["jsonld_logos"] == [] and page["title_h1"] == "t" and page["jsonld_description"] == ["d"] and page["links"][0]["url"] == "https://a.in/x"
+    deep = "<div>" * 20_000 + "z"
+    assert markup.parse(deep, "https://a.in", ())["text"] == "z"
+
+
+def test_sitemap_locations():
+    from lanternflow.functions.markup import locations
+
+    assert locations("<?xml version='1.0'?><u xmlns='x'><loc> https://a.in/p?x=1&amp;y=2 </loc><loc/></u>") == ["https://a.in/p?x=1&y=2"]
+    assert locations("<u><loc>https://a.in</loc>") == [] and locations(None) == [] and locations("no xml") == []

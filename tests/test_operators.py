@@ -210,3 +210,20 @@ def test_settings(monkeypatch):
     monkeypatch.setenv("LANTERNFLOW_MAX_PAGES", "bad")
     assert Settings.from_env().max_pages == 5 and Settings().with_overrides(max_pages=2).max_pages == 2
     assert env_number("LANTERNFLOW_NONE", 1.5, float) == 1.5
+
+
+def test_runs_and_first_provenance(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from lanternflow.operators import state
+
+    at = lambda h: F.lit(dt.datetime(2024, 1, 1, h))
+    runs = state.create_run(state.create_run(state.initialize(spark)["runs"], "a", at(1)), "b", at(2))
+    done = {r.id: r for r in state.finish_run(runs, 2, {"processed": 10, "accepted": 4}, at(3)).collect()}
+    assert (done[2].wave, done[2].total_seconds, done[2].processed, done[2].accepted) == ("b", 3600.0, 10, 4) and done[1].finished_at is None and set(done) == {1, 2}
+    people = spark.createDataFrame([("a",), ("b",)], "domain string")
+    rows = spark.createDataFrame([("a", "late", "q2", "u2", dt.datetime(2024, 1, 2)), ("a", "early", "q1", "u1", dt.datetime(2024, 1, 1))], "domain string, source string, discovery_query string, source_url string, observed_at timestamp")
+    assert sorted(map(tuple, state.first_provenance(people, rows).collect())) == [("a", "early", "q1", "u1", 2), ("b", "unknown", None, None, 0)]
+    assert state.candidate(people, "b").count() == 1
