@@ -100,6 +100,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of some megabytes, unless the session has a bound of its own: a worker holds each batch several
+    times over, in the JVM and in Python, and Spark's default of 64 MB a batch takes an executor past 3 GB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).rstrip("bB") == str(64 << 20):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 #: Rows up to which a checked table may be broadcast.
 BROADCAST_ROWS = 1_000_000
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from lanternflow.llm._shared import read_table
+from lanternflow.llm._shared import bounded_batches, read_table
 
 GRAM, DIMS, PER_LANG, PIECE = 3, 1024, 1000, 1 << 20
 UNKNOWN = "und"
@@ -162,6 +162,7 @@ def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
 
 def fit(docs: DataFrame, dims: int = DIMS, gram: int = GRAM, per_lang: int = PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages by name, and their prototypes."""
+    bounded_batches(docs.sparkSession)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total = Encoder(dims, gram), {}
@@ -200,6 +201,7 @@ def _predict(names: list[str], prototypes: np.ndarray, dims: int, gram: int, tex
 
 def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], dims: int = DIMS, gram: int = GRAM) -> DataFrame:
     """docs with __lang_pred and __lang_score."""
+    bounded_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField("__lang_pred", T.StringType()), T.StructField("__lang_score", T.DoubleType())])
     return docs.mapInArrow(_predict(*model, dims, gram, docs.columns.index("text")), schema)
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from lanternflow.llm._shared import read_table, small, staged, word_count
+from lanternflow.llm._shared import bounded_batches, read_table, small, staged, word_count
 
 SOURCE, SIZE, ORDER, RANGE, PLACE, COPIES = (f"__mix_{x}" for x in ("source", "size", "order", "range", "place", "copies"))
 #: Offsets are multiples of this, so that offset plus whole numbers is exact.
@@ -72,6 +72,7 @@ def _places(batches):
 def _copies(docs: DataFrame, weight_of: Callable[[int], float], share: float, most: float, seed: int, name: str) -> tuple[DataFrame, DataFrame]:
     """docs with private columns and COPIES; and a small table of sources: SOURCE, source_size, target."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     held = docs.withColumns({SOURCE: F.col("source").cast("string"), SIZE: word_count(F.col("text")), ORDER: F.xxhash64("doc_id", "text")})
     if name == "narrow":
         held = held.select("doc_id", SOURCE, SIZE, ORDER)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import read_table, staged
+from lanternflow.llm._shared import bounded_batches, read_table, staged
 
 KINDS = ("assign", "access", "hex")
 LEARNED, PLAIN = "grammar", "plain"
@@ -270,6 +270,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, examples: int = EXAMPLE
     """An automaton for each kind that the sample has, and that of plain text.
 
     The sample is bounded: about sample_docs rows, of these examples distinct strings a kind and background plain ones, by hash; credentials longer than longest are not learned from."""
+    bounded_batches(docs.sparkSession)
     share = min(1.0, sample_docs / max(1, docs.count()))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
     found = staged(sample.mapInArrow(_sampled(background), "kind string, value string").where(F.length("value") <= longest).distinct(), "credentials")
@@ -311,6 +312,7 @@ def _scan(scanner: Scanner):
 
 def scanned(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end of all, comma-joined, in code points)."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan(scanner), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import join_hot_apart, read_table, small, staged
+from lanternflow.llm._shared import bounded_batches, join_hot_apart, read_table, small, staged
 from lanternflow.llm.graph import components
 
 RADIUS, SHINGLE, SEED, SEGMENT, SEGMENTS, FAN = 2, 3, 42, 32_768, 64, 4
@@ -89,6 +89,7 @@ def row_key() -> Column:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, tie (row_key), fp (the 64 bits as a signed long)."""
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("tie"), F.col("text").cast("binary").alias("text"))
     return narrow.mapInArrow(_fingerprints(shingle), "doc_id long, tie long, fp long")
 

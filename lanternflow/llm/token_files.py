@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lanternflow.llm._shared import opened, read_table, staged, workspace, written_once
+from lanternflow.llm._shared import bounded_batches, opened, read_table, staged, workspace, written_once
 
 MAGIC = b"LFEF0002"
 HEAD = struct.Struct("<8sQQqIQ")
@@ -287,6 +287,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int, width: int, file_ids:
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, width: int = 2, file_ids: int = FILE_IDS) -> DataFrame:
     """Encode docs (doc_id, text), write files under folder and return their manifest: range, part, uri, docs, ids.
     width: bytes of an id; 2 holds vocabularies up to 65,536."""
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))
     ranged = narrow.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     return staged(ranged.mapInArrow(_writer(folder, tokenizer_path, end_id, width, file_ids), "range int, part int, uri string, docs long, ids long"), "token-manifest")

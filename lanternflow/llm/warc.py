@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import _in_store, join_hot_apart, opened, read_table, staged, workspace, written_once
+from lanternflow.llm._shared import _in_store, bounded_batches, join_hot_apart, opened, read_table, staged, workspace, written_once
 
 #: Fixed values of the formats.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -136,6 +136,7 @@ def _archives(folder: str, file_bytes: int, date: str):
 def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: int = 256 << 20, date: str = "2024-01-01T00:00:00Z", task_bytes: int = 64 << 20) -> DataFrame:
     """Write deduplicated archives of pages (page_id, url, html) under folder; returns their manifest: uri, records."""
     spark, spool = pages.sparkSession, workspace(pages.sparkSession, "spool")
+    bounded_batches(spark)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     headers = staged(rows.mapInArrow(_spooled(spool), HEADERS), "warc-headers")
     total = headers.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
