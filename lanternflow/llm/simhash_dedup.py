@@ -210,8 +210,8 @@ def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     keys = ["__dedup_id", "__dedup_tie"]
     rows = grouped(docs, shingle, radius).select(F.coalesce("doc_id", F.lit(0)).alias(keys[0]), F.col("tie").alias(keys[1]), F.col("doc_id").isNull().alias("none"), "root")
     rows = staged(rows.groupBy(*keys, "none", "root").agg(F.count(F.lit(1)).alias("n")), "row-keys")
-    best = rows.groupBy("root").agg(F.min(F.struct("none", *keys)).alias("best"))
-    first = rows.join(best, "root").select(*keys, (F.struct("none", *keys) == F.col("best")).alias("first"), "n")
+    best = staged(rows.groupBy("root").agg(F.min(F.struct("none", *keys)).alias("best"), F.count(F.lit(1)).alias("__rows")), "first-rows")
+    first = join_hot_apart(rows, best, "root", "__rows", rows.count()).select(*keys, (F.struct("none", *keys) == F.col("best")).alias("first"), "n")
     # names of rows: those that go, and those that stay but are repeated
     odd = staged(first.groupBy(*keys).agg(F.max("first").alias("first"), F.sum("n").alias("n")).where("not first or n > 1"), "row-names")
     n, keyed = odd.count(), docs.withColumns({keys[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), keys[1]: row_key()})
