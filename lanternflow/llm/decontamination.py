@@ -65,21 +65,18 @@ def _needed(m: Column, threshold: float) -> Column:
 
 
 def signatures(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """key, width, least (hits that a leak has at least), hash: the smallest hashes of each item, as many as its partition asks for."""
+    """key, least (hits that a leak has at least), hash: the smallest hashes of each item, as many as its partition asks for."""
     top = sets.groupBy("part").agg(F.max("m").alias("top"))  # a row for each power of two
     lists = sets.groupBy("key", "width", "part", "m").agg(F.array_sort(F.collect_set("hash")).alias("s")).join(F.broadcast(top), "part")
     k = F.least(F.col("m"), F.col("top") - _needed(F.col("top"), threshold) + 1)
-    return lists.select("key", "width", (k - (F.col("m") - _needed(F.col("m"), threshold))).alias("least"), F.explode(F.slice("s", F.lit(1), k)).alias("hash"))
+    return lists.select("key", (k - (F.col("m") - _needed(F.col("m"), threshold))).alias("least"), F.explode(F.slice("s", F.lit(1), k)).alias("hash"))
 
 
 def _probes(docs: DataFrame, widths: list[int]) -> DataFrame:
-    """DOC, ROW, width, hash: the shingles of each document row, of all widths that items have, in one pass."""
+    """DOC, ROW, hash: the shingles of each document row, of all widths that items have, in one pass."""
     text = docs.select(F.col("doc_id").alias(DOC), F.xxhash64("text").alias(ROW), words(F.col("text")).alias("w"))
-
-    def of(width: int) -> Column:
-        return F.transform(shingles(F.col("w"), width), lambda h: F.struct(F.lit(width).alias("width"), h.alias("hash")))
-
-    return text.select(DOC, ROW, F.inline(F.concat(*map(of, widths))))
+    # a hash of five words is none of four, so the hash alone tells widths apart
+    return text.select(DOC, ROW, F.explode(F.concat(*[shingles(F.col("w"), k) for k in widths])).alias("hash"))
 
 
 def _found(docs: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame] | None:
@@ -88,11 +85,11 @@ def _found(docs: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFram
     widths = sorted(r[0] for r in sets.select("width").distinct().collect())  # at most as many as words in a shingle
     if not widths:
         return None
-    hits = _probes(docs, widths).join(small(signatures(sets, threshold), rows, BROADCAST_ROWS), ["width", "hash"]).select(DOC, ROW, "key", "least", "hash").distinct()
+    hits = _probes(docs, widths).join(small(signatures(sets, threshold), rows, BROADCAST_ROWS), "hash").select(DOC, ROW, "key", "least", "hash").distinct()
     pairs = staged(hits.groupBy(DOC, ROW, "key", "least").agg(F.count(F.lit(1)).alias("n")).where("n >= least").select(DOC, ROW, "key"), "candidate-pairs")
     named = pairs.select(F.col(DOC).alias("__d"), F.col(ROW).alias("__r")).distinct()
     again = docs.select("doc_id", "text").join(small(named, pairs.count(), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__r")), "left_semi")
-    held = _probes(again, widths).join(small(sets.select("width", "hash", "key"), rows, BROADCAST_ROWS), ["width", "hash"]).select(DOC, ROW, "key", "hash").distinct()
+    held = _probes(again, widths).join(small(sets.select("hash", "key"), rows, BROADCAST_ROWS), "hash").select(DOC, ROW, "key", "hash").distinct()
     shared = held.groupBy(DOC, ROW, "key").agg(F.count(F.lit(1)).alias("shared"))
     return pairs, shared.join(small(sets.select("key", ITEM, "m", "part").distinct(), rows, BROADCAST_ROWS), "key").where(F.col("shared") >= F.lit(threshold) * F.col("m") - F.lit(1e-9))
 
