@@ -140,7 +140,7 @@ def anchors(templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> tuple[str,
 
 def anchored(text: Column, words: tuple[str, ...]) -> Column:
     """Whether a lower-case text has one of the words."""
-    return text.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(sorted(words))})(?![\p{{L}}\p{{N}}])")
+    return F.arrays_overlap(F.split(text, r"[^\p{L}\p{N}]+"), F.array(*map(F.lit, words)))
 
 
 def split_by_length(templates) -> tuple[tuple, tuple]:
@@ -148,10 +148,18 @@ def split_by_length(templates) -> tuple[tuple, tuple]:
     return tuple(t for t in templates if len(_words(t[1])) <= LONG), tuple(t for t in templates if len(_words(t[1])) > LONG)
 
 
+@lru_cache(maxsize=8)
+def _hashes(templates: tuple) -> tuple[str, ...]:
+    """The bigrams of each template, once, as text: a constant that the optimiser folds, where a lambda would run for each row."""
+    lists = F.array(*[F.array_join(F.array_compact(bigrams(F.lit(" ".join(_words(text))))).cast("array<string>"), ",") for _, text in templates])
+    return tuple(SparkSession.active().range(1).select(lists.alias("x")).first()["x"])
+
+
 def known(templates, threshold: float = THRESHOLD) -> Column:
     """The templates as one constant: name, words, m (bigrams), least (shared ones of a match), s (bigrams)."""
-    rows = [(name, w, len({*zip(w, w[1:])})) for name, text in templates if len(w := _words(text)) > 1]
-    return F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(w)).alias("words"), F.lit(m).alias("m"), F.lit(least_shared(m, threshold)).alias("least"), F.array_compact(bigrams(F.lit(" ".join(w)))).alias("s")) for name, w, m in rows])
+    templates = tuple(t for t in templates if len(_words(t[1])) > 1)
+    rows = [(name, len(_words(text)), h.count(",") + 1, h) for (name, text), h in zip(templates, _hashes(templates))]
+    return F.array(*[F.struct(F.lit(name).alias("name"), F.lit(n).alias("words"), F.lit(m).alias("m"), F.lit(least_shared(m, threshold)).alias("least"), F.split(F.lit(h), ",").cast("array<bigint>").alias("s")) for name, n, m, h in rows])
 
 
 def best_match(s: Column, templates, threshold: float = THRESHOLD) -> Column:
@@ -179,10 +187,11 @@ def sets_of(segment: Column) -> Column:
 
 def held(docs: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, x (normalised text), whole (best match of a text of several paragraphs, if any): texts with an anchor."""
-    text = docs.select("doc_id", "text").where(anchored(F.lower("text"), anchors(templates, threshold))).select("doc_id", normalised(F.col("text")).alias("x"))
+    text = docs.select("doc_id", "text").where(anchored(F.lower("text"), anchors(templates, threshold)))
+    text = staged(text.select("doc_id", normalised(F.col("text")).alias("x")), "anchored-texts")
     sets = text.select("doc_id", "x", F.when(F.col("x").rlike(BREAK), sets_of(F.col("x"))).alias("s"))
     best = sets.select("doc_id", "x", best_of_all(F.col("s"), templates, threshold).alias("whole"))
-    return staged(best.select("doc_id", "x", F.when(F.col("whole.score") >= threshold - 1e-9, F.col("whole")).alias("whole")), "anchored-texts")
+    return staged(best.select("doc_id", "x", F.when(F.col("whole.score") >= threshold - 1e-9, F.col("whole")).alias("whole")), "whole-texts")
 
 
 def segments(text: DataFrame) -> DataFrame:
