@@ -20,8 +20,8 @@ whole licences the same words are asked for: a text that has none of them (licen
 software, copyright and the like) is no copy of one.
 
 All of it is DataFrame operations; the templates are one constant of the plan, sent once.
-Texts with an anchor are staged.  Segments and windows are scored in the row that holds
-them, and only matches are shuffled.  Windows that match in one text are compared with those kept there,
+Texts with an anchor are staged, and dealt out in turn before they are searched for windows.
+Segments and windows are scored in the row that holds them.  Windows that match in one text are compared with those kept there,
 so a text of thousands of notices within lines takes longer than in proportion.
 
 Cases: null and empty texts and segments of fewer than two words match nothing; very long
@@ -44,6 +44,8 @@ from pyspark.sql import functions as F
 from lanternflow.llm._shared import read_table, staged
 
 THRESHOLD, LONG = 0.8, 500
+#: Texts that one task searches for windows: these are few and small, and each takes long for its bytes.
+WINDOW_ROWS = 4096
 #: Anchors are words of these only where a template has too few others.
 COMMON = frozenset("a above all also an and any are as at be but by can conditions following for free from further if in including is it may must no not of on or other out permitted possible project provided public purpose related rights shall source special specific such terms that the their they this to under use used version warranty whether which with without work you your 0 1 2 3 4".split())
 #: Notices and headers of public licences.
@@ -204,6 +206,9 @@ def windows(text: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHO
     """doc_id, best (score, name): windows in what no line, paragraph or whole text that matches holds."""
     words, floor, short = anchors(templates, threshold), threshold - 1e-9, split_by_length(templates)[0]
     all_ = known(short, threshold)
+    text = text.where("whole is null")
+    # by rows, not by the scan's bytes; dealt in turn, so that copies of one text are spread
+    text = text.repartition(max(4 * text.sparkSession.sparkContext.defaultParallelism, -(-text.count() // WINDOW_ROWS)))
 
     def dice(t: Column, s: Column) -> Column:
         return F.lit(2.0) * F.size(F.array_intersect(t["s"], s)) / (t["m"] + F.size(F.array_distinct(s)))
@@ -215,7 +220,7 @@ def windows(text: DataFrame, templates=ALL_TEMPLATES, threshold: float = THRESHO
         return F.array_join(F.transform(F.split(paragraph, "\n"), lambda x: F.when(hit(x), MARK).otherwise(x)), "\n")
 
     rest = F.array_join(F.transform(F.split("x", BREAK), lambda p: F.when(p.contains("\n") & hit(p), MARK).otherwise(without_lines(p))), "\n")
-    stretch = text.where("whole is null").select("doc_id", F.explode(F.split(rest, MARK)).alias("x")).where(anchored(F.col("x"), words))
+    stretch = text.select("doc_id", F.explode(F.split(rest, MARK)).alias("x")).where(anchored(F.col("x"), words))
     w = F.split(F.trim(F.regexp_replace("x", r"[ \n]+", " ")), " ")
     pairs = stretch.select("doc_id", w.alias("w")).where(F.size("w") > 1).select("doc_id", F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.xxhash64(a, b)).alias("h"))
     near = pairs.withColumn("near", F.array_intersect("h", F.array_distinct(F.flatten(F.transform(all_, lambda t: t["s"])))))
