@@ -7,11 +7,13 @@ executor costs a re-read and never a recomputation of what came before.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -100,17 +102,44 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of some megabytes, unless the session has a bound of its own: a worker holds each batch several
+    """Arrow batches of a megabyte, unless the session has a bound of its own: a worker holds each batch several
     times over, in the JVM and in Python, and Spark's default of 64 MB a batch takes an executor past 3 GB."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key).rstrip("bB") == str(64 << 20):
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def release() -> None:
+    """Give the system what Arrow and the C library hold of freed memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # of glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def given_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, and its freed memory given back at the end of each task: a worker waits for its next task beside the
+    executor's other stages, and what it holds then is missing there."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return runs
+
+
+def small_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A table of the driver's own values, by way of Arrow: rows of Python objects would start a second Python daemon
+    with workers of its own on each executor."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 #: Rows up to which a checked table may be broadcast.
 BROADCAST_ROWS = 1_000_000
 

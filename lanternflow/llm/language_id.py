@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from lanternflow.llm._shared import bounded_batches, read_table
+from lanternflow.llm._shared import bounded_batches, given_back, read_table
 
 GRAM, DIMS, PER_LANG, PIECE = 3, 1024, 1000, 1 << 20
 UNKNOWN = "und"
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, dims: int = DIMS, gram: int = GRAM, per_lang: int = PER
         names = sorted(total)
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([total[n].tolist() for n in names], pa.list_(pa.float64()))], names=["lang", "v"])
 
-    parts = training_rows(docs, per_lang).mapInArrow(sums, "lang string, v array<double>")
+    parts = training_rows(docs, per_lang).mapInArrow(given_back(sums), "lang string, v array<double>")
     rows = parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("v")).collect()
     names = sorted(r["lang"] for r in rows)
     of = {r["lang"]: np.array([p["x"] for p in r["v"]]) for r in rows}
@@ -203,7 +203,7 @@ def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], dims: int =
     """docs with __lang_pred and __lang_score."""
     bounded_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField("__lang_pred", T.StringType()), T.StructField("__lang_score", T.DoubleType())])
-    return docs.mapInArrow(_predict(*model, dims, gram, docs.columns.index("text")), schema)
+    return docs.mapInArrow(given_back(_predict(*model, dims, gram, docs.columns.index("text"))), schema)
 
 
 def accepted(docs: DataFrame, model: tuple[list[str], np.ndarray], dims: int = DIMS, gram: int = GRAM) -> DataFrame:

@@ -1,9 +1,10 @@
 """Mixing sources to target weights by systematic sampling.
 
 Within a source every document expects ``target / source_size`` copies.  Rows are ranged
-over the cluster by (source, size, hash), each range counts its rows of each source, and
-the counts of earlier ranges plus the place in its own range give a row's prefix sum of
-expected copies.  One random offset a source is added, drawn from the seed before anything
+over the cluster by (source, size, hash) and numbered within their range, in which a source's
+rows lie together; each range counts its rows of each source, and the counts of earlier
+ranges plus the place in its own range give a row's prefix sum of expected copies.  No row
+passes through Python.  One random offset a source is added, drawn from the seed before anything
 is counted, and a document is emitted once for each integer boundary that its interval
 crosses.  As rows lie by size, errors of neighbours cancel, and a source's words miss its
 target by one large document at most.
@@ -28,14 +29,15 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from lanternflow.llm._shared import bounded_batches, read_table, small, staged, word_count
+from lanternflow.llm._shared import read_table, small, small_table, staged, word_count
 
 SOURCE, SIZE, ORDER, RANGE, PLACE, COPIES = (f"__mix_{x}" for x in ("source", "size", "order", "range", "place", "copies"))
 #: Offsets are multiples of this, so that offset plus whole numbers is exact.
 GRAIN = 1 << 20
+#: monotonically_increasing_id has the row's number in its range below this bit, and the range's number above.
+NUMBER_BITS = 33
 
 
 def cyclic_weights(weights: Sequence[float] = (3.0, 1.0, 2.0)) -> Callable[[int], float]:
@@ -56,43 +58,29 @@ def targets(sizes: Sequence[int], weights: Sequence[float], share: float = 1.5,
     return out
 
 
-def _places(batches):
-    """Numbers the rows of each source in this range, from 0."""
-    from pyspark import TaskContext
-
-    at, seen = TaskContext.get().partitionId(), {}
-    for batch in batches:
-        place = []
-        for source in batch.column(batch.schema.get_field_index(SOURCE)).to_pylist():
-            seen[source] = k = seen.get(source, -1) + 1
-            place.append(k)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([at] * len(place), pa.int32()), pa.array(place, pa.int64())], names=[*batch.schema.names, RANGE, PLACE])
-
-
 def _copies(docs: DataFrame, weight_of: Callable[[int], float], share: float, most: float, seed: int, name: str) -> tuple[DataFrame, DataFrame]:
     """docs with private columns and COPIES; and a small table of sources: SOURCE, source_size, target."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     held = docs.withColumns({SOURCE: F.col("source").cast("string"), SIZE: word_count(F.col("text")), ORDER: F.xxhash64("doc_id", "text")})
     if name == "narrow":
         held = held.select("doc_id", SOURCE, SIZE, ORDER)
     ranged = held.repartitionByRange(F.col(SOURCE).asc_nulls_last(), SIZE, ORDER).sortWithinPartitions(F.col(SOURCE).asc_nulls_last(), SIZE, ORDER)
-    schema = T.StructType([*ranged.schema.fields, T.StructField(RANGE, T.IntegerType()), T.StructField(PLACE, T.LongType())])
-    placed = staged(ranged.mapInArrow(_places, schema), "mix")
-    counted = staged(placed.groupBy(SOURCE, RANGE).agg(F.count(F.lit(1)).alias("__n"), F.sum(SIZE).alias("__words")), "mix-counts")
+    placed = staged(ranged.withColumn(PLACE, F.monotonically_increasing_id()), "mix").withColumn(RANGE, F.shiftright(PLACE, NUMBER_BITS))
+    counted = staged(placed.groupBy(SOURCE, RANGE).agg(F.count(F.lit(1)).alias("__n"), F.min(PLACE).alias("__least"), F.sum(SIZE).alias("__words")), "mix-counts")
     sizes = {r[0]: r[1] for r in counted.groupBy(SOURCE).agg(F.sum("__words")).collect()}
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     want = targets([sizes[x] for x in names], [weight_of(k) for k in range(len(names))], share, most)
-    goal = spark.createDataFrame([(x, sizes[x], t, t / sizes[x] if sizes[x] else 0.0) for x, t in zip(names, want)], f"{SOURCE} string, source_size long, target double, __rate double")
+    rates = [t / sizes[x] if sizes[x] else 0.0 for x, t in zip(names, want)]
+    goal = small_table(spark, **{SOURCE: pa.array(names, pa.string()), "source_size": pa.array([sizes[x] for x in names], pa.int64()), "target": pa.array(want, pa.float64()), "__rate": pa.array(rates, pa.float64())})
     before = F.coalesce(F.sum("__n").over(W.partitionBy(SOURCE).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before")
-    ahead = counted.select(F.col(SOURCE).alias("__s"), F.col(RANGE).alias("__r"), before)
+    ahead = counted.select(F.col(SOURCE).alias("__s"), F.col(RANGE).alias("__r"), "__least", before)
     rated = goal.select(F.col(SOURCE).alias("__g"), "__rate")
     rows = placed.join(small(ahead, counted.count()), (F.col(RANGE) == F.col("__r")) & F.col(SOURCE).eqNullSafe(F.col("__s"))).join(small(rated, len(names)), F.col(SOURCE).eqNullSafe(F.col("__g")))
     offset = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(SOURCE, F.lit("\0null"))), F.lit(GRAIN)) / F.lit(float(GRAIN))
-    rank = F.col("__before") + F.col(PLACE)
+    rank = F.col("__before") + F.col(PLACE) - F.col("__least")
     crossed = F.floor(offset + F.col("__rate") * (rank + 1)) - F.floor(offset + F.col("__rate") * rank)
     out = rows.withColumn(COPIES, F.least(crossed, F.ceil("__rate")).cast("long"))
-    return out.drop("__r", "__s", "__g", "__before", "__rate", RANGE, PLACE, ORDER), goal.drop("__rate")
+    return out.drop("__r", "__s", "__g", "__before", "__least", "__rate", RANGE, PLACE, ORDER), goal.drop("__rate")
 
 
 def mix(docs: DataFrame, weight_of: Callable[[int], float] | None = None, share: float = 1.5, most: float = 2.0, seed: int = 20) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanternflow.llm._shared import bounded_batches, join_hot_apart, read_table, small, staged
+from lanternflow.llm._shared import bounded_batches, given_back, join_hot_apart, read_table, small, staged
 from lanternflow.llm.graph import components
 
 RADIUS, SHINGLE, SEED, SEGMENT, SEGMENTS, FAN = 2, 3, 42, 32_768, 64, 4
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, tie (row_key), fp (the 64 bits as a signed long)."""
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("tie"), F.col("text").cast("binary").alias("text"))
-    return narrow.mapInArrow(_fingerprints(shingle), "doc_id long, tie long, fp long")
+    return narrow.mapInArrow(given_back(_fingerprints(shingle)), "doc_id long, tie long, fp long")
 
 
 def gray_rank(code: Column) -> Column:
@@ -188,7 +188,7 @@ def linked_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     directory = sorted((r[0], r[1], r[2], r[3]) for r in held.groupBy("segment").agg(F.bit_and("fp"), F.bit_or("fp"), F.min("rank")).collect())
     if not directory:
         return spark.createDataFrame([], "node long, root long")
-    routed = held.select("segment", "fp").mapInArrow(_route([d[:3] for d in directory], radius), "segment int, fp long")
+    routed = held.select("segment", "fp").mapInArrow(given_back(_route([d[:3] for d in directory], radius)), "segment int, fp long")
     edges = held.groupBy("segment").cogroup(routed.groupBy("segment")).applyInPandas(_links(radius), "a long, b long")
     return components(edges)
 

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lanternflow.llm._shared import bounded_batches, opened, read_table, staged, workspace, written_once
+from lanternflow.llm._shared import bounded_batches, given_back, opened, read_table, small_table, staged, workspace, written_once
 
 MAGIC = b"LFEF0002"
 HEAD = struct.Struct("<8sQQqIQ")
@@ -290,7 +290,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))
     ranged = narrow.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    return staged(ranged.mapInArrow(_writer(folder, tokenizer_path, end_id, width, file_ids), "range int, part int, uri string, docs long, ids long"), "token-manifest")
+    return staged(ranged.mapInArrow(given_back(_writer(folder, tokenizer_path, end_id, width, file_ids)), "range int, part int, uri string, docs long, ids long"), "token-manifest")
 
 
 READ = 2000
@@ -315,10 +315,11 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     for r in sorted(manifest.groupBy("range").agg(F.sum("ids").alias("ids")).collect()):  # a row for each range
         first.append((r["range"], base))
         base += r["ids"]
+    starts = small_table(spark, range=pa.array([r for r, _ in first], pa.int32()), first=pa.array([b for _, b in first], pa.int64()))
     within = F.coalesce(F.sum("ids").over(W.partitionBy("range").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    files = manifest.withColumn("within", within).join(F.broadcast(spark.createDataFrame(first, "range int, first long")), "range")
+    files = manifest.withColumn("within", within).join(F.broadcast(starts), "range")
     files = files.select("uri", (F.col("first") + F.col("within")).alias("base")).repartition(max(1, manifest.count()))
-    return files.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(given_back(_read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -502,3 +502,35 @@ def test_no_licence_match_lacks_all_anchors():
     for pairs in (grams(text, 2) for text in (t for _, t in licences.split_by_length(licences.ALL_TEMPLATES)[0])):
         assert sum(not words & {*p} for p in pairs) < licences.least_shared(len(pairs), licences.THRESHOLD)
     assert all(licences.least_shared(m, 0.8) == min(s for n in range(1, 3 * m) for s in range(1, m + 1) if s <= n and 2 * s / (m + n) >= 0.8 - 1e-9) for m in range(1, 60))
+
+
+def test_mixing_stays_out_of_python(spark, docs, monkeypatch):
+    """Neither whole rows nor the table of sources start a Python worker."""
+    monkeypatch.setattr(type(docs), "mapInArrow", None)
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)
+    assert mixing.mix(docs).count() == mixing.mix_report(docs).agg(F.sum("copies")).first()[0] > 0
+
+
+def test_token_files_start_one_kind_of_worker(spark, docs, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)
+    manifest = token_files.write_token_files(docs, workspace(spark, "one-kind"), public_tokenizers.path("word_bpe_49k.json"), file_ids=1000)
+    assert token_files.read_token_files(manifest).count() == docs.count()
+
+
+def test_workers_give_memory_back(spark, monkeypatch):
+    """Batches are of a megabyte, and a task ends, well or not, with its freed memory given back."""
+    import pyarrow as pa
+
+    from lanternflow.llm import _shared
+
+    _shared.bounded_batches(spark)
+    sizes = spark.range(400, numPartitions=1).select(F.repeat(F.lit("x"), 20_000).alias("t")).mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in bs), "n long")
+    assert sizes.agg(F.max("n")).first()[0] < 2 << 20
+    calls = []
+    monkeypatch.setattr(_shared, "release", lambda: calls.append(1))
+    assert list(_shared.given_back(lambda xs: (x + 1 for x in xs))(iter([1, 2]))) == [2, 3] and len(calls) == 1
+    with pytest.raises(ZeroDivisionError):
+        list(_shared.given_back(lambda xs: (1 // x for x in xs))(iter([0])))
+    assert len(calls) == 2
