@@ -15,12 +15,14 @@ from pyspark.sql import Window as W
 from lanternflow import vocab
 from lanternflow.functions import text as X
 from lanternflow.functions import urls as U
+from lanternflow.functions.base import bounded_batches
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """pages: store, page_order, final_url, html -> parsed, each page parsed once."""
     from lanternflow.functions.markup import parsed_page
 
+    bounded_batches(pages.sparkSession)
     return pages.where(F.coalesce("html", F.lit("")) != "").withColumn("page", parsed_page(F.col("html"), F.col("final_url")))
 
 

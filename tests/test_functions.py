@@ -140,3 +140,20 @@ def test_sitemap_locations():
 
     assert locations("<?xml version='1.0'?><u xmlns='x'><loc> https://a.in/p?x=1&amp;y=2 </loc><loc/></u>") == ["https://a.in/p?x=1&y=2"]
     assert locations("<u><loc>https://a.in</loc>") == [] and locations(None) == [] and locations("no xml") == []
+
+
+def test_parsed_pages_are_handed_on_in_portions(spark):
+    """A worker holds a portion of a batch, however many pages or how much markup the batch has."""
+    from pyspark.sql import functions as F
+
+    from lanternflow.functions import markup
+    from lanternflow.operators.extract import parsed_pages
+
+    html = "<title>t</title>" + "<a href='/x'>y</a>" * 50
+    pages = [(html, f"https://a.in/{k}") for k in range(2000)] + [(None, None), ("", "https://b.in")]
+    parts = list(markup.parsed_portions(pages, ()))
+    assert sum(map(len, parts)) == len(pages) and max(map(len, parts)) <= markup.PORTION // len(html) + 1
+    assert [p["links"][0]["url"] if p["links"] else None for part in parts for p in part] == ["https://a.in/x"] * 2000 + [None] * 2
+    df = spark.range(3000, numPartitions=1).select(F.col("id").alias("store"), F.lit(html).alias("html"), F.concat(F.lit("https://a.in/"), F.col("id")).alias("final_url"))
+    assert parsed_pages(df).where("page.links[49].text = 'y' and page.title_h1 = 't'").count() == 3000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) <= 4 << 20
