@@ -45,3 +45,11 @@ def test_page_title_h1_is_as_its_sql_reads_it(agree):
     n = len(htmls)
     rows = agree("page_title_h1", "pages", pa.table({"page_id": pa.array(range(n), pa.int64()), "url": pa.array(["http://a.example.com/"] * n), "html": pa.array(htmls, pa.string())}))
     assert len(rows) == n and {r["store"]: r["title_h1"] for r in rows}[0] == "the&&&amp the&am"
+
+
+@pytest.mark.parametrize("query", ["links_topk_per_page", "parsed_pages"])
+def test_pages_are_parsed_once(spark, query):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()[query](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
